@@ -92,8 +92,6 @@ class LeafTree:
                 todo.append(left)
             if away >= 0 or away * away <= radius2:
                 todo.append(right)
-            if np.isinf(radius2) and away == 0:
-                continue
         return sorted(set(found))
 
 
