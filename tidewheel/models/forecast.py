@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
@@ -17,6 +16,7 @@ from tidewheel.operators.scale import attach, fit_min_max, min_max, min_max_inve
 from tidewheel.operators.series import lag, over_series, past_mean, sequences
 from tidewheel.operators.split import chronological_split
 from tidewheel.panel import Panel
+from tidewheel.session import shared_dir
 
 
 def baseline_forecasts(df: DataFrame, panel: Panel) -> DataFrame:
@@ -52,14 +52,15 @@ def horizon_forecast(
 ) -> DataFrame:
     """Test predictions in original units: keys, time, step (1..horizon), actual, prediction.
 
-    One model per step, trained on the windows of all series; steps share one pass over the sequences.
+    One model per step, trained on the windows of all series; the sequences are checkpointed once for all steps.
     """
+    shared_dir(df.sparkSession)
     estimator = estimator or LinearRegression(regParam=1e-4)
     low, high = F.col(f"{panel.value}_min"), F.col(f"{panel.value}_max")
     ready = (
         supervised(df, panel, length, horizon)
         .select(*panel.keys, panel.time, "split", low, high, array_to_vector("inputs").alias("features"), "targets")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .checkpoint()
     )
     train, test = ready.where(F.col("split") == "train"), ready.where(F.col("split") == "test")
     for step in range(1, horizon + 1):

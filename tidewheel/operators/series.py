@@ -129,13 +129,16 @@ def sequences(df: DataFrame, panel: Panel, length: int = 30, horizon: int = 7) -
     return pairs.where(F.col("inputs").isNotNull() & F.col("targets").isNotNull())
 
 
-def cumulative_mean(df: DataFrame, panel: Panel, name: str = "cumulative_avg") -> DataFrame:
-    """Mean of all values from the start of the series up to the current row."""
-    if panel.daily:
-        w = Window.partitionBy(*panel.keys).orderBy(panel.time).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.avg(panel.value).over(w))
+def cumulative(df: DataFrame, panel: Panel) -> DataFrame:
+    """Add cumulative_sum, cumulative_count and cumulative_avg from the start of the series up to the current row."""
     value = F.col(panel.value)
     filled, counted = F.coalesce(value.cast("double"), F.lit(0.0)), value.isNotNull().cast("long")
-    out = running_totals(df, [panel.time], {"_sum": filled, "_cnt": counted}, panel.keys)
-    mean = F.try_divide(F.col("_sum") + filled, F.col("_cnt") + counted)
-    return out.withColumn(name, mean).drop("_sum", "_cnt")
+    total, count = F.col("cumulative_sum"), F.col("cumulative_count")
+    if panel.daily:
+        w = Window.partitionBy(*panel.keys).orderBy(panel.time).rowsBetween(Window.unboundedPreceding, 0)
+        out = df.withColumns({"cumulative_sum": F.sum(filled).over(w), "cumulative_count": F.sum(counted).over(w)})
+    else:
+        out = running_totals(
+            df, [panel.time], {"cumulative_sum": filled, "cumulative_count": counted}, panel.keys
+        ).withColumns({"cumulative_sum": total + filled, "cumulative_count": count + counted})
+    return out.withColumn("cumulative_avg", F.try_divide(total, count))

@@ -51,8 +51,17 @@ def write_topic(messages: DataFrame, servers: str, topic: str) -> None:
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
-def encode(df: DataFrame, columns: Sequence[str], source: str, ingested_at: Column | None = None) -> DataFrame:
-    """Rows to messages: key ``country_sector`` and a JSON value that keeps nulls and writes dates in ISO form."""
+def encode(
+    df: DataFrame,
+    columns: Sequence[str],
+    source: str,
+    ingested_at: Column | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Rows to messages: key ``country_sector`` and a JSON value that keeps nulls and writes dates in ISO form.
+
+    ``keep`` columns are passed on next to key and value.
+    """
     iso = "yyyy-MM-dd'T'HH:mm:ss"
     fields = []
     for c in columns:
@@ -65,7 +74,7 @@ def encode(df: DataFrame, columns: Sequence[str], source: str, ingested_at: Colu
         {"ignoreNullFields": "false"},
     )
     key = F.concat_ws("_", F.coalesce("country", F.lit("UNKNOWN")), F.coalesce("sector", F.lit("ALL")))
-    return df.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"))
+    return df.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"), *keep)
 
 
 def decode(messages: DataFrame) -> DataFrame:
