@@ -9,23 +9,37 @@ from pyspark.sql import functions as F
 
 from tidewheel.operators.joins import join_same
 from tidewheel.operators.ordering import positions
+from tidewheel.session import shared_dir
 
 
-def alphabetical_codes(df: DataFrame, column: str, name: str) -> DataFrame:
-    """One row per distinct value with its position in ascending order."""
-    return positions(df.select(column).where(F.col(column).isNotNull()).distinct(), [column], (), name)
+def alphabetical_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (column, value, code): the distinct values of each column in ascending text order, counted from 0.
+
+    All columns are read in one pass.  The distinct values are checkpointed, so that ordering and joining them does
+    not read the data again.
+    """
+    shared_dir(df.sparkSession)
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns))
+    values = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct().checkpoint()
+    return positions(values, ["value"], ["column"], "code")
 
 
 def frequency_codes(df: DataFrame, column: str, name: str) -> DataFrame:
     """One row per distinct value, most frequent first, ties in alphabetical order."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg((-F.count(F.lit(1))).alias("_n"))
+    shared_dir(df.sparkSession)
+    counts = counts.checkpoint()
     return positions(counts, ["_n", column], (), name).drop("_n")
 
 
 def encode(df: DataFrame, columns: Sequence[str], suffix: str = "_encoded") -> DataFrame:
     """Add alphabetical codes for each column; null gets no code."""
+    codes = alphabetical_codes(df, columns)
     for c in columns:
-        df = join_same(df, alphabetical_codes(df, c, f"{c}{suffix}"), [c], "left")
+        of_column = codes.where(F.col("column") == c).select(
+            F.col("value").cast(df.schema[c].dataType).alias(c), F.col("code").alias(f"{c}{suffix}")
+        )
+        df = join_same(df, of_column, [c], "left")
     return df
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators.joins import join_same
+from tidewheel.session import shared_dir
 
 SAMPLE_PER_LEAF = 32
 MAX_GROUPS = 10_000
@@ -130,12 +131,14 @@ def nearest_in_group(
 
     ``neighbours`` lists the vectors of the k nearest other rows of the same group, nearest first, a vector repeated
     once per copy; it is shorter when the group has fewer rows.  Only the group sizes and a sample of at most
-    ``max_leaves * 32`` vectors reach the driver.
+    ``max_leaves * 32`` vectors reach the driver.  The merged vectors and the first search are checkpointed, since
+    several later steps read them.
     """
+    shared_dir(df.sparkSession)
     g, v = F.col(group).cast("string"), F.col(vector)
     merged = df.groupBy(g.alias("_g"), v.alias("vec")).agg(
         F.count(F.lit(1)).alias("m"), F.max(wanted).alias("query")
-    )
+    ).checkpoint()
     tree = _grow(merged, leaf_rows, max_leaves)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -163,7 +166,7 @@ def nearest_in_group(
 
     own = placed.groupBy("leaf").applyInPandas(
         search_own, f"_g string, vec array<double>, found {_CANDIDATES}, visit array<bigint>, radius double"
-    )
+    ).checkpoint()
     visits = own.select("_g", "vec", "radius", F.explode("visit").alias("leaf"))
     load = visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_TASK).alias("shares"))
     asked = join_same(visits, load, ["leaf"]).withColumn("share", F.pmod(F.xxhash64("vec"), F.col("shares")))

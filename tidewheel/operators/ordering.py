@@ -16,6 +16,8 @@ from tidewheel.operators.joins import join_same
 from tidewheel.session import parallelism
 
 OVERSAMPLE = 8
+PIECES_PER_PARTITION = 2
+SAMPLE_ONE_IN = 64
 
 
 def range_piece(df: DataFrame, order_by: Sequence[str], name: str = "_piece", pieces: int | None = None) -> DataFrame:
@@ -23,10 +25,13 @@ def range_piece(df: DataFrame, order_by: Sequence[str], name: str = "_piece", pi
 
     Rows with equal ``order_by`` values cannot be separated, so aggregate duplicates first.
     """
-    pieces = pieces or parallelism(df.sparkSession)
+    pieces = pieces or PIECES_PER_PARTITION * parallelism(df.sparkSession)
     key = F.struct(*order_by)
+    # only the choice of cuts looks at one key in 64, before any shuffle; a table too small to give enough cuts that
+    # way needs no fine cutting
     sample = (
         df.select(key.alias("k"))
+        .where(F.pmod(F.xxhash64("k"), F.lit(SAMPLE_ONE_IN)) == 0)
         .orderBy(F.xxhash64("k"), "k")
         .limit(pieces * OVERSAMPLE)
         .agg(F.sort_array(F.collect_list("k")).alias("s"))

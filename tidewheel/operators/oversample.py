@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewheel.operators.joins import join_same
 from tidewheel.operators.neighbours import feature_vector, nearest_in_group
 from tidewheel.operators.ordering import positions
+from tidewheel.session import shared_dir
 
 COPIES_PER_TASK = 10_000
 
@@ -28,11 +29,12 @@ def synthetic_rows(
     its rows in turn as starting points; neighbour and place on the segment follow from the row, the copy number and
     the seed, so a recomputed task gives the same rows.  Pass the training part only.
     """
+    shared_dir(train.sparkSession)
     rows = train.select(F.col(label), F.col(row_id), feature_vector(features).alias("_x")).withColumn(
         "_h", F.xxhash64(F.lit(seed), row_id)
-    )
+    ).checkpoint()
     largest = (
-        train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).scalar()
+        rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).scalar()
     )
     placed = positions(rows, ["_h", row_id], [label], "_p", group_size=True).withColumn(
         "_need", largest - F.col("_p_total")
@@ -40,7 +42,7 @@ def synthetic_rows(
     copies = F.floor(F.col("_need") / F.col("_p_total")) + (
         F.col("_p") < F.col("_need") % F.col("_p_total")
     ).cast("bigint")
-    bases = placed.where(F.col("_need") > 0).select(label, row_id, "_x", copies.alias("_copies"))
+    bases = placed.where(F.col("_need") > 0).select(label, row_id, "_x", copies.alias("_copies")).checkpoint()
     found = nearest_in_group(bases.withColumn("_ask", F.col("_copies") > 0), label, "_x", "_ask", k)
     found = found.withColumn(label, F.col(label).cast(train.schema[label].dataType))
     asked = join_same(bases.where(F.col("_copies") > 0), found, [label, "_x"])
