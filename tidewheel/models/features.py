@@ -26,7 +26,7 @@ ABLATION_SETS = {
 def panel_features(df: DataFrame, panel: Panel, drop_null: tuple[str, ...] = ("lag_7d",)) -> DataFrame:
     """Calendar, lag, leak-free rolling and encoded key columns; rows null in ``drop_null`` or the value are dropped.
 
-    The window pass comes before the joins with the key codes, so those small tables meet the reduced rows.
+    The key codes are those of the whole input, learnt without the window pass; they are joined to the kept rows.
     """
     featured = trailing_features(with_calendar(df, panel.time, origin="monday"), panel, leak_free=True)
-    return encode(featured.dropna(subset=[*drop_null, panel.value]), panel.keys)
+    return encode(featured.dropna(subset=[*drop_null, panel.value]), panel.keys, learn_from=df)

@@ -32,9 +32,14 @@ def frequency_codes(df: DataFrame, column: str, name: str) -> DataFrame:
     return positions(counts, ["_n", column], (), name).drop("_n")
 
 
-def encode(df: DataFrame, columns: Sequence[str], suffix: str = "_encoded") -> DataFrame:
-    """Add alphabetical codes for each column; null gets no code."""
-    codes = alphabetical_codes(df, columns)
+def encode(
+    df: DataFrame, columns: Sequence[str], suffix: str = "_encoded", learn_from: DataFrame | None = None
+) -> DataFrame:
+    """Add alphabetical codes for each column; null gets no code.
+
+    The codes are those of all values in ``learn_from``, by default of ``df`` itself.
+    """
+    codes = alphabetical_codes(df if learn_from is None else learn_from, columns)
     for c in columns:
         of_column = codes.where(F.col("column") == c).select(
             F.col("value").cast(df.schema[c].dataType).alias(c), F.col("code").alias(f"{c}{suffix}")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidewheel.operators.joins import join_same
 from tidewheel.session import shared_dir
 
-SAMPLE_PER_LEAF = 32
+SAMPLE_PER_LEAF = 8
 MAX_GROUPS = 10_000
 QUERIES_PER_TASK = 50_000
 BLOCK = 1 << 22
@@ -125,13 +125,13 @@ def _pack(near: np.ndarray, square: np.ndarray, points: np.ndarray, copies: np.n
 
 
 def nearest_in_group(
-    df: DataFrame, group: str, vector: str, wanted: str, k: int = 5, leaf_rows: int = 2_000, max_leaves: int = 4_096
+    df: DataFrame, group: str, vector: str, wanted: str, k: int = 5, leaf_rows: int = 2_000, max_leaves: int = 65_536
 ) -> DataFrame:
     """Rows (group, vector, neighbours) for every distinct vector with at least one row where ``wanted`` is true.
 
     ``neighbours`` lists the vectors of the k nearest other rows of the same group, nearest first, a vector repeated
     once per copy; it is shorter when the group has fewer rows.  Only the group sizes and a sample of at most
-    ``max_leaves * 32`` vectors reach the driver.  The merged vectors and the first search are checkpointed, since
+    ``max_leaves * 8`` vectors reach the driver.  The merged vectors and the first search are checkpointed, since
     several later steps read them.
     """
     shared_dir(df.sparkSession)

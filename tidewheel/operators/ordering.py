@@ -26,7 +26,7 @@ def range_piece(df: DataFrame, order_by: Sequence[str], name: str = "_piece", pi
     Rows with equal ``order_by`` values cannot be separated, so aggregate duplicates first.
     """
     pieces = pieces or PIECES_PER_PARTITION * parallelism(df.sparkSession)
-    key = F.struct(*order_by)
+    key = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
     # only the choice of cuts looks at one key in 64, before any shuffle; a table too small to give enough cuts that
     # way needs no fine cutting
     sample = (
@@ -43,18 +43,16 @@ def range_piece(df: DataFrame, order_by: Sequence[str], name: str = "_piece", pi
             F.transform(F.sequence(F.lit(1), F.lit(pieces - 1)), lambda i: F.get("s", F.floor(i * share).cast("int")))
         ).alias("cuts")
     )
-    steps = []
     width = 1
-    while width < pieces:
-        steps.insert(0, F.lit(width))
+    while width * 2 < pieces:
         width *= 2
-    # binary search: the number of cuts below the row
-    found = F.aggregate(
-        F.array(*steps),
-        F.lit(0),
-        lambda at, step: F.when(F.get(F.col("_cuts"), at + step - 1) < key, at + step).otherwise(at),
-    )
-    return df.withColumn("_cuts", cuts.scalar()).withColumn(name, found).drop("_cuts")
+    # binary search for the number of cuts below the row, one projection per step so that it stays in generated code
+    out = df.withColumns({"_cuts": cuts.scalar(), name: F.lit(0)})
+    while width:
+        at = F.col(name)
+        out = out.withColumn(name, F.when(F.get("_cuts", at + (width - 1)) < key, at + width).otherwise(at))
+        width //= 2
+    return out.drop("_cuts")
 
 
 def running_totals(
