@@ -1,8 +1,8 @@
 """Positions and running totals in a total order, without ever sorting one group in one task.
 
 The order is cut at a hash-chosen sample of the rows (as a sample sort does), totals per piece are added up in a
-table of one row per piece, and only rows of one piece meet in one task.  The sample is the set of smallest hashes,
-so every evaluation of the plan cuts at the same places, also after an executor is lost.
+table of one row per piece, and only rows of one piece meet in one task.  The sample depends on the hashes of the keys
+alone, so every evaluation of the plan cuts at the same places, also after an executor is lost.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from tidewheel.session import parallelism
 
 OVERSAMPLE = 8
 PIECES_PER_PARTITION = 2
-SAMPLE_ONE_IN = 64
+SAMPLE_ONE_IN = 256
 
 
 def range_piece(df: DataFrame, order_by: Sequence[str], name: str = "_piece", pieces: int | None = None) -> DataFrame:
@@ -27,13 +27,14 @@ def range_piece(df: DataFrame, order_by: Sequence[str], name: str = "_piece", pi
     """
     pieces = pieces or PIECES_PER_PARTITION * parallelism(df.sparkSession)
     key = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
-    # only the choice of cuts looks at one key in 64, before any shuffle; a table too small to give enough cuts that
-    # way needs no fine cutting
+    # Only the choice of cuts looks at a part of the keys.  One key in 256 enters, before any shuffle (a table too small
+    # to give enough cuts that way needs no fine cutting); of those, the smallest hash of each slot stays, which map
+    # tasks combine, so the number of rows that meet in one task is the number of slots.
+    hashed = df.select(key.alias("k"), F.xxhash64(key).alias("h")).where(F.pmod("h", F.lit(SAMPLE_ONE_IN)) == 0)
+    slot = F.pmod(F.floor(F.col("h") / SAMPLE_ONE_IN), F.lit(pieces * OVERSAMPLE))
     sample = (
-        df.select(key.alias("k"))
-        .where(F.pmod(F.xxhash64("k"), F.lit(SAMPLE_ONE_IN)) == 0)
-        .orderBy(F.xxhash64("k"), "k")
-        .limit(pieces * OVERSAMPLE)
+        hashed.groupBy(slot.alias("slot"))
+        .agg(F.min_by("k", "h").alias("k"))
         .agg(F.sort_array(F.collect_list("k")).alias("s"))
     )
     # every OVERSAMPLE-th sampled row is a cut, scaled down when there are fewer rows than wanted

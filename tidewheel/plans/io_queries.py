@@ -146,7 +146,11 @@ def json_metrics(spark, folder):
     )
 
 
-@query("model_runs")
+@query(
+    "model_runs",
+    f"""WITH {BLEND}, m AS ({" UNION ALL ".join(_metric_sql(c, n) for c, n in MODELS)})
+    SELECT lower(model_type) AS run_id, model_type AS run_name, 'CO2 Emission Prediction' AS task, mae, rmse, r2 FROM m""",
+)
 def model_runs(spark, folder):
     """Run table with one row per baseline; the metric table has one row per model."""
     path = run_dir(spark, "runs")
@@ -156,7 +160,11 @@ def model_runs(spark, folder):
         metrics = {m: row[m] for m in ("mae", "rmse", "r2")}
         log_run(spark, path, row["model_type"].lower(), row["model_type"], {"task": row["task"]}, metrics, start,
                 datetime.now(timezone.utc))
-    return read_parquet(spark, path).select("run_id", "run_name", "metrics", "params")
+    digits = {"mae": 4, "rmse": 4, "r2": 6}
+    return read_parquet(spark, path).select(
+        "run_id", "run_name", F.col("params.task").alias("task"),
+        *(F.round(F.col(f"metrics.{m}"), d).alias(m) for m, d in digits.items()),
+    )
 
 
 # ---------------------------------------------------------------- messages

@@ -150,7 +150,12 @@ def gbt_multiclass(spark, folder):
     return class_report(scored, "label", "prediction")
 
 
-@query("tertile_counts")
+@query(
+    "tertile_counts",
+    f"""WITH {INDIVIDUALS}, e AS (SELECT QUANTILE_CONT(CarbonEmission, 1.0/3) AS a, QUANTILE_CONT(CarbonEmission, 2.0/3) AS b FROM individuals),
+    c AS (SELECT CarbonEmission, CAST(CASE WHEN CarbonEmission <= a THEN 0 WHEN CarbonEmission <= b THEN 1 ELSE 2 END AS INTEGER) AS label FROM individuals, e)
+    SELECT label, COUNT(*) AS n, MIN(CarbonEmission) AS lowest FROM c GROUP BY 1""",
+)
 def tertile_counts(spark, folder):
     labelled = tertile_label(individuals(spark, folder), "CarbonEmission")
     return labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("CarbonEmission").alias("lowest"))

@@ -336,14 +336,14 @@ BOUNDS = """e AS (SELECT q1, q3, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 -
 
 @query(
     "iqr_outliers",
-    f"""WITH {BOUNDS} SELECT ROUND(MIN(q1), 4) AS q1, ROUND(MIN(q3), 4) AS q3, ROUND(MIN(lower), 4) AS lower, ROUND(MIN(upper), 4) AS upper,
+    f"""WITH {BOUNDS} SELECT ROUND(MIN(q1), 6) AS q1, ROUND(MIN(q3), 6) AS q3, ROUND(MIN(lower), 6) AS lower, ROUND(MIN(upper), 6) AS upper,
     COUNT(*) FILTER (l_extendedprice < lower OR l_extendedprice > upper) AS outliers,
     ROUND(COUNT(*) FILTER (l_extendedprice < lower OR l_extendedprice > upper) * 100.0 / COUNT(*), 6) AS outlier_pct FROM lineitem, e""",
 )
 def iqr_outliers(spark, folder):
     """On the raw amounts: exact quartiles of the whole fact table through the distributed sort."""
     out = outlier_summary(table(spark, folder, "lineitem").select("l_extendedprice"), "l_extendedprice")
-    return out.select(*rounded(4, "q1", "q3", "lower", "upper"), "outliers", *rounded(6, "outlier_pct"))
+    return out.select(*rounded(6, "q1", "q3", "lower", "upper"), "outliers", *rounded(6, "outlier_pct"))
 
 
 @query(
