@@ -16,6 +16,9 @@ LAG_FEATURES = ("lag_1d", "lag_7d", "lag_30d")
 ROLLING_FEATURES = ("rolling_avg_7d", "rolling_avg_30d")
 FEATURES = TIME_FEATURES + LAG_FEATURES + ROLLING_FEATURES + KEY_FEATURES
 
+# Columns of the sequence forecaster, next to the value itself.
+SEQUENCE_FEATURES = ROLLING_FEATURES + LAG_FEATURES + ("month_sin", "month_cos", "is_weekend")
+
 ABLATION_SETS = {
     "Ablation_TimeOnly": TIME_FEATURES + KEY_FEATURES,
     "Ablation_TimeLag": TIME_FEATURES + KEY_FEATURES + LAG_FEATURES,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import array_to_vector
@@ -11,10 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators.metrics import regression_metrics
-from tidewheel.operators.rollup import union_ragged
 from tidewheel.operators.scale import attach, fit_min_max, min_max, min_max_inverse
 from tidewheel.operators.series import lag, over_series, past_mean, sequences
-from tidewheel.operators.split import chronological_split
+from tidewheel.operators.split import TRAIN_TEST, chronological_split
 from tidewheel.panel import Panel
 from tidewheel.session import shared_dir
 
@@ -25,40 +25,59 @@ def baseline_forecasts(df: DataFrame, panel: Panel) -> DataFrame:
 
 
 def baseline_metrics(scored: DataFrame, label: str, names: dict[str, str]) -> DataFrame:
-    """One metric record per forecast column; ``names`` maps columns to model names."""
-    return union_ragged(
-        [
-            regression_metrics(scored, label, column).select(F.lit(name).alias("model_type"), "*")
-            for column, name in names.items()
-        ]
+    """One metric record per forecast column, all from one pass; ``names`` maps columns to model names."""
+    forecasts = F.array(
+        *(F.struct(F.lit(name).alias("model_type"), F.col(c).alias("_forecast")) for c, name in names.items())
     )
+    return regression_metrics(scored.select(label, F.inline(forecasts)), label, "_forecast", ["model_type"])
+
+
+def supervised(
+    df: DataFrame,
+    panel: Panel,
+    length: int = 30,
+    horizon: int = 7,
+    features: Sequence[str] = (),
+    shares: Mapping[str, float] = TRAIN_TEST,
+    split_first: bool = False,
+    fit_on_all: bool = False,
+) -> DataFrame:
+    """Sequences of scaled values (and further ``features``) with a chronological split.
 
-
-def supervised(df: DataFrame, panel: Panel, length: int = 30, horizon: int = 7) -> DataFrame:
-    """Sequences of scaled values with a chronological split.
-
-    Minimum and maximum come from the first 80 % of each series only; they stay on the rows for the way back.
+    Minimum and maximum come from the training rows of each series only, unless ``fit_on_all``; those of the value
+    stay on the rows for the way back.  By default the sequences are split, so neighbouring parts share rows; with
+    ``split_first`` the rows are, and no sequence reaches over the border of its part.
     """
-    rows = df.where(F.col(panel.value).isNotNull())
-    past = chronological_split(rows, panel, name="_part").where(F.col("_part") == "train")
-    fitted = fit_min_max(past, [panel.value], panel.keys)
-    low, high = F.col(f"{panel.value}_min"), F.col(f"{panel.value}_max")
-    scaled = attach(rows, fitted, panel.keys).withColumn(panel.value, min_max(F.col(panel.value), low, high))
-    return chronological_split(sequences(scaled, panel, length, horizon), panel)
+    columns = [panel.value, *features]
+    rows = chronological_split(df.dropna(subset=columns), panel, shares)
+    fitted = fit_min_max(rows if fit_on_all else rows.where(F.col("split") == "train"), columns, panel.keys)
+    joined = attach(rows, fitted, panel.keys)
+    scaled = joined.withColumns({c: min_max(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")) for c in columns})
+    inputs = columns if features else None
+    if split_first:
+        return sequences(scaled, replace(panel, keys=(*panel.keys, "split")), length, horizon, inputs)
+    return chronological_split(sequences(scaled.drop("split"), panel, length, horizon, inputs), panel, shares)
 
 
 def horizon_forecast(
-    df: DataFrame, panel: Panel, length: int = 30, horizon: int = 7, estimator: Estimator | None = None
+    df: DataFrame,
+    panel: Panel,
+    length: int = 30,
+    horizon: int = 7,
+    estimator: Estimator | None = None,
+    **options: object,
 ) -> DataFrame:
     """Test predictions in original units: keys, time, step (1..horizon), actual, prediction.
 
+    ``options`` go to :func:`supervised`.
+
     One model per step, trained on the windows of all series; the sequences are checkpointed once for all steps.
     """
     shared_dir(df.sparkSession)
     estimator = estimator or LinearRegression(regParam=1e-4)
     low, high = F.col(f"{panel.value}_min"), F.col(f"{panel.value}_max")
     ready = (
-        supervised(df, panel, length, horizon)
+        supervised(df, panel, length, horizon, **options)
         .select(*panel.keys, panel.time, "split", low, high, array_to_vector("inputs").alias("features"), "targets")
         .checkpoint()
     )

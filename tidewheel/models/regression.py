@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -37,6 +37,15 @@ def forest_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: s
     return Pipeline(stages=stages)
 
 
+def fit_cached(estimator: Estimator, train: DataFrame) -> Model:
+    """Fit with the training rows kept for the fit's many passes."""
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(train)
+    finally:
+        train.unpersist()
+
+
 def grid_search(
     pipeline: Pipeline,
     train: DataFrame,
@@ -59,11 +68,7 @@ def grid_search(
         seed=seed,
         parallelism=parallelism,
     )
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return search.fit(train)
-    finally:
-        train.unpersist()
+    return fit_cached(search, train)
 
 
 def grid_results(train: DataFrame, model: CrossValidatorModel) -> DataFrame:

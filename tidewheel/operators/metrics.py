@@ -132,6 +132,27 @@ def classification_table(metrics: DataFrame) -> DataFrame:
     )
 
 
+def comparison_record(metrics: DataFrame) -> DataFrame:
+    """One record for a dashboard: regression models without ablations, classification models, and the best of the
+    former; ``metrics`` holds one row per model."""
+    regressions = metrics.where(F.col("r2").isNotNull() & name_excludes("model_type", "Ablation"))
+    classes = metrics.where(F.col("accuracy").isNotNull())
+    whole = F.struct(*metrics.columns)
+    ordered = F.sort_array(F.collect_list(F.struct("model_type", whole.alias("m"))))
+    listed = lambda df: df.agg(ordered.alias("l")).select(F.transform("l", lambda e: e["m"]))
+    return (
+        best_regression(metrics)
+        .select(F.struct("*").alias("best_regression"))
+        .withColumns(
+            {
+                "regression_models": listed(regressions).scalar(),
+                "classification_models": listed(classes).scalar(),
+                "generated_at": F.current_timestamp(),
+            }
+        )
+    )
+
+
 def best_regression(metrics: DataFrame, exclude: Sequence[str] = ("Ablation", "Baseline")) -> DataFrame:
     """The record with the highest r2 whose model name holds none of the excluded words."""
     return best_record(metrics.where(name_excludes("model_type", *exclude)), "r2")

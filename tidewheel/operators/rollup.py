@@ -57,7 +57,7 @@ def period_compare(
 def distribution(df: DataFrame, by: str) -> DataFrame:
     """Row count and percentage per value; the total is added up from the grouped counts."""
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = counts.agg(F.sum("n").alias("n")).scalar()
     return counts.withColumn("pct", F.col("n") * 100.0 / total)
 
 

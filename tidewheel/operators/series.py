@@ -54,12 +54,19 @@ def pct_change(value: str) -> SeriesColumn:
     return SeriesColumn(build, before=1)
 
 
-def past_values(value: str, rows: int) -> SeriesColumn:
-    """Array of the last ``rows`` values, oldest first, the current one last; null at the start of a series."""
+def past_values(values: str | Sequence[str], rows: int) -> SeriesColumn:
+    """Array of the last ``rows`` values, oldest first, the current one last; null at the start of a series.
+
+    Several columns give one flat array that holds them row after row.
+    """
 
     def build(w: WindowSpec) -> Column:
         frame = w.rowsBetween(-(rows - 1), 0)
-        return F.when(F.count(F.lit(1)).over(frame) == rows, F.collect_list(value).over(frame))
+        if isinstance(values, str):
+            listed = F.collect_list(values).over(frame)
+        else:
+            listed = F.flatten(F.collect_list(F.array(*(F.col(c).cast("double") for c in values))).over(frame))
+        return F.when(F.count(F.lit(1)).over(frame) == rows, listed)
 
     return SeriesColumn(build, before=rows - 1)
 
@@ -118,14 +125,16 @@ def trailing_features(
     return over_series(df, panel, columns)
 
 
-def sequences(df: DataFrame, panel: Panel, length: int = 30, horizon: int = 7) -> DataFrame:
-    """Sliding supervised pairs: ``inputs`` (``length`` values) and ``targets`` (the next ``horizon`` values).
+def sequences(
+    df: DataFrame, panel: Panel, length: int = 30, horizon: int = 7, features: Sequence[str] | None = None
+) -> DataFrame:
+    """Sliding supervised pairs: ``inputs`` (``length`` rows of the features, by default of the value) and ``targets``
+    (the next ``horizon`` values).
 
     A series of n rows gives n - length - horizon + 1 pairs.  Null values would shorten an array, so drop them first.
     """
-    pairs = over_series(
-        df, panel, {"inputs": past_values(panel.value, length), "targets": next_values(panel.value, horizon)}
-    )
+    inputs = past_values(list(features) if features else panel.value, length)
+    pairs = over_series(df, panel, {"inputs": inputs, "targets": next_values(panel.value, horizon)})
     return pairs.where(F.col("inputs").isNotNull() & F.col("targets").isNotNull())
 
 

@@ -52,20 +52,16 @@ def global_split(
     df: DataFrame, panel: Panel, shares: Mapping[str, float] = TRAIN_TEST, name: str = "split"
 ) -> DataFrame:
     """Cut the whole table by position in (keys, time) order: the last part holds the last *series*, not dates."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     if panel.daily:
+        # one row per series is ordered instead of all rows
         sizes = df.groupBy(*panel.keys).agg(F.count(F.lit(1)).alias("_n"))
-        starts = running_start(sizes, panel.keys)
+        starts = running_totals(sizes, panel.keys, {"_start": F.col("_n")}, group_totals=True).drop("_n")
         placed = join_same(with_series_position(df, panel, "_p"), starts, panel.keys)
-        placed = placed.withColumn("_p", F.col("_p") + F.col("_start")).drop("_p_total", "_start")
+        placed = placed.withColumns({"_p": F.col("_p") + F.col("_start"), "_p_total": F.col("_start_total")})
     else:
-        placed = positions(df, panel.order, (), "_p")
-    return placed.withColumn("_t", total).withColumn(name, by_share(F.col("_p"), F.col("_t"), shares)).drop("_p", "_t")
-
-
-def running_start(sizes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """First global position of each series, given one row per series with its size ``_n``."""
-    return running_totals(sizes, keys, {"_start": F.col("_n")}).drop("_n")
+        placed = positions(df, panel.order, (), "_p", group_size=True)
+    split = by_share(F.col("_p"), F.col("_p_total"), shares)
+    return placed.withColumn(name, split).drop("_p", "_p_total", "_start", "_start_total")
 
 
 def hash_split(

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.operators.metrics import comparison_record
 from tidewheel.operators.quantiles import exact_quantiles
 from tidewheel.operators.rollup import top
+from tidewheel.plans.catalog import query
 from tidewheel.plans.adapters import DAILY, INVENTORY, PANEL, event_stream, inventory, messages, panel, records
 from tidewheel.plans.rollup_queries import BLEND, MODELS, clean_inventory, model_records
 from tidewheel.plans.series_queries import SERIES, SQL_ID, _metric_sql, day
@@ -26,19 +27,6 @@ from tidewheel.sources.writers import (
 from tidewheel.streaming.sinks import read_latest, read_raw, start_aggregates, start_raw
 from tidewheel.streaming.windows import KEYS, cumulative_totals, window_totals
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return register
 
 
 # ---------------------------------------------------------------- files
@@ -167,6 +155,27 @@ def model_runs(spark, folder):
     )
 
 
+@query(
+    "dashboard_record",
+    f"""WITH {BLEND}, m AS ({" UNION ALL ".join(_metric_sql(c, n) for c, n in MODELS)})
+    SELECT COUNT(*) AS regression_models, CAST(1 AS BIGINT) AS classification_models, STRING_AGG(model_type, ',' ORDER BY model_type) AS names,
+    'Blended_Average' AS best, MAX(r2) FILTER (model_type = 'Blended_Average') AS best_r2 FROM m""",
+)
+def dashboard_record(spark, folder):
+    """The comparison record written as JSON and read back."""
+    path = run_dir(spark, "dashboard")
+    record = comparison_record(model_records(spark, folder))
+    record.coalesce(1).write.mode("overwrite").json(path)
+    back = spark.read.schema(record.schema).json(path)
+    return back.select(
+        F.size("regression_models").cast("bigint").alias("regression_models"),
+        F.size("classification_models").cast("bigint").alias("classification_models"),
+        F.array_join("regression_models.model_type", ",").alias("names"),
+        F.col("best_regression.model_type").alias("best"),
+        F.round("best_regression.r2", 6).alias("best_r2"),
+    )
+
+
 # ---------------------------------------------------------------- messages
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -12,11 +10,11 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.calendar import with_year_features
 from tidewheel.models.classify import fit_balanced, prepare, tertile_label
-from tidewheel.models.features import ABLATION_SETS, FEATURES, LAG_FEATURES, ROLLING_FEATURES, TIME_FEATURES, panel_features
+from tidewheel.models.features import ABLATION_SETS, FEATURES, LAG_FEATURES, ROLLING_FEATURES, SEQUENCE_FEATURES, TIME_FEATURES, panel_features
 from tidewheel.models.forecast import horizon_forecast, horizon_metrics
 from tidewheel.models.importance import permutation_importance
 from tidewheel.models.regression import (
-    ablation, boosted, expanding_validation, forest_pipeline, grid_results, grid_search, importances,
+    ablation, boosted, expanding_validation, fit_cached, forest_pipeline, grid_results, grid_search, importances,
 )
 from tidewheel.operators.encode import encode
 from tidewheel.operators.metrics import class_report, clip_low, regression_metrics
@@ -25,28 +23,16 @@ from tidewheel.operators.rollup import top
 from tidewheel.operators.split import (
     TRAIN_VALIDATION_TEST, chronological_split, expanding_folds, hash_split, stratified_split,
 )
+from tidewheel.plans.catalog import query
 from tidewheel.plans.adapters import DAILY, INDIVIDUALS, individuals, inventory, panel
 from tidewheel.session import run_dir
 from tidewheel.sources.writers import append, load_model, save_model, score
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 # rounds are cut down from the library defaults so that a check takes seconds, not minutes
 ROUNDS = 20
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return register
-
-
 INDIVIDUAL_FEATURES = ["segment_encoded", "home_encoded", "order_count", "order_total", "largest_order"]
 
 
@@ -123,7 +109,7 @@ def gbt_regression(spark, folder):
     """Boosted trees that stop early on a validation slice between training and test rows."""
     parts = _panel_parts(spark, folder)
     fitting = parts.where(F.col("split") != "test").withColumn("held_out", F.col("split") == "validation")
-    model = boosted(FEATURES, "mtco2_per_day", "held_out", maxIter=ROUNDS, stepSize=0.2).fit(fitting)
+    model = fit_cached(boosted(FEATURES, "mtco2_per_day", "held_out", maxIter=ROUNDS, stepSize=0.2), fitting)
     scored = model.transform(parts.where(F.col("split") == "test")).withColumn("prediction", clip_low(F.col("prediction")))
     return regression_metrics(scored, "mtco2_per_day", "prediction").withColumn(
         "rounds_used", F.lit(model.stages[-1].getNumTrees)
@@ -173,6 +159,17 @@ def horizon_forecast_by_series(spark, folder):
     )
 
 
+@query("horizon_forecast_features")
+def horizon_forecast_features(spark, folder):
+    """Nine columns per day as input, and rows split 80/10/10 before sequences are cut."""
+    featured = panel_features(panel(spark, folder), DAILY, ("lag_7d", "lag_30d"))
+    return horizon_metrics(
+        horizon_forecast(
+            featured, DAILY, horizon=3, features=SEQUENCE_FEATURES, shares=TRAIN_VALIDATION_TEST, split_first=True
+        )
+    )
+
+
 LINEAR_FEATURES = [*TIME_FEATURES[1:], *LAG_FEATURES, *ROLLING_FEATURES]
 
 
@@ -188,7 +185,7 @@ def linear() -> Pipeline:
 @query("permutation_importance")
 def permutation_importance_query(spark, folder):
     parts = _panel_parts(spark, folder)
-    model = linear().fit(parts.where(F.col("split") == "train"))
+    model = fit_cached(linear(), parts.where(F.col("split") == "train"))
     return permutation_importance(
         model, parts.where(F.col("split") == "test"), LINEAR_FEATURES, "mtco2_per_day", ["country", "sector", "emission_date"]
     )

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tidewheel.plans import io_queries, job_queries, model_queries, rollup_queries, series_queries  # noqa: F401
+from tidewheel.plans.catalog import ORACLES, QUERIES, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.plans import io_queries, model_queries, rollup_queries, series_queries
-
-MODULES = (series_queries, rollup_queries, io_queries, model_queries)
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: run for module in MODULES for name, run in module.QUERIES.items()}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracles() -> dict[str, str]:
-    return {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
+    return dict(ORACLES)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +28,7 @@ from tidewheel.operators.rollup import (
 )
 from tidewheel.operators.series import lag, over_series, rolling_mean
 from tidewheel.operators.split import hash_split
+from tidewheel.plans.catalog import query
 from tidewheel.plans.adapters import (
     DAILY, GAPPY, INDIVIDUALS, INVENTORY, PANEL, VEHICLES, gappy_panel, individuals, inventory, panel, vehicles,
 )
@@ -37,25 +36,17 @@ from tidewheel.plans.series_queries import BASE, SERIES, SQL_ID, _metric_sql, da
 from tidewheel.models.forecast import baseline_metrics
 from tidewheel.sources.readers import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return register
 
 
 def rounded(digits: int, *names: str) -> list[Column]:
     return [F.round(n, digits).alias(n) for n in names]
 
 
+def exact_total(value: str, digits: int) -> Column:
+    """Sum of two-decimal amounts that does not depend on the order of the rows, rounded to ``digits``."""
+    return F.round(F.sum(F.col(value).cast("decimal(18,2)")), digits).cast("double")
+
+
 def with_year(df: DataFrame) -> DataFrame:
     return df.withColumn("year", F.year("emission_date"))
 
@@ -65,28 +56,28 @@ def with_year(df: DataFrame) -> DataFrame:
 
 @query(
     "annual_total",
-    f"""WITH {PANEL} SELECT CAST(year(emission_date) AS INTEGER) AS year, ROUND(SUM(mtco2_per_day), 1) AS total_daily_mtco2
+    f"""WITH {PANEL} SELECT CAST(year(emission_date) AS INTEGER) AS year, CAST(ROUND(SUM(CAST(mtco2_per_day AS DECIMAL(18, 2))), 1) AS DOUBLE) AS total_daily_mtco2
     FROM panel GROUP BY 1 ORDER BY 1""",
 )
 def annual_total(spark, folder):
     return (
         with_year(panel(spark, folder))
         .groupBy("year")
-        .agg(F.round(F.sum("mtco2_per_day"), 1).alias("total_daily_mtco2"))
+        .agg(exact_total("mtco2_per_day", 1).alias("total_daily_mtco2"))
         .orderBy("year")
     )
 
 
 @query(
     "sector_profile",
-    f"""WITH {PANEL} SELECT sector, ROUND(AVG(mtco2_per_day), 3) AS avg_daily_mtco2, ROUND(SUM(mtco2_per_day), 1) AS total_mtco2
+    f"""WITH {PANEL} SELECT sector, ROUND(AVG(mtco2_per_day), 3) AS avg_daily_mtco2, CAST(ROUND(SUM(CAST(mtco2_per_day AS DECIMAL(18, 2))), 1) AS DOUBLE) AS total_mtco2
     FROM panel GROUP BY 1""",
 )
 def sector_profile(spark, folder):
     return (
         panel(spark, folder)
         .groupBy("sector")
-        .agg(F.round(F.avg("mtco2_per_day"), 3).alias("avg_daily_mtco2"), F.round(F.sum("mtco2_per_day"), 1).alias("total_mtco2"))
+        .agg(F.round(F.avg("mtco2_per_day"), 3).alias("avg_daily_mtco2"), exact_total("mtco2_per_day", 1).alias("total_mtco2"))
         .orderBy(F.desc("avg_daily_mtco2"))
     )
 
@@ -179,11 +170,11 @@ def fuel_profile(spark, folder):
 @query(
     "monthly_two_stage",
     f"""WITH {PANEL}, d AS (SELECT country, emission_date, AVG(mtco2_per_day) AS m FROM panel GROUP BY 1, 2)
-    SELECT country, strftime(emission_date, '%Y-%m-01') AS month, ROUND(AVG(m), 6) AS avg_value FROM d GROUP BY 1, 2""",
+    SELECT country, strftime(emission_date, '%Y-%m-01') AS month, ROUND(AVG(m), 7) AS avg_value FROM d GROUP BY 1, 2""",
 )
 def monthly_two_stage(spark, folder):
     out = two_stage_mean(panel(spark, folder), "country", "emission_date", "mtco2_per_day")
-    return out.select("country", F.col("month").cast("string").alias("month"), *rounded(6, "avg_value"))
+    return out.select("country", F.col("month").cast("string").alias("month"), *rounded(7, "avg_value"))
 
 
 @query(

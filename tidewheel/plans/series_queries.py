@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +20,10 @@ from tidewheel.operators.split import (
 from tidewheel.functions.binning import threshold_code
 from tidewheel.models.features import FEATURES, panel_features
 from tidewheel.models.forecast import baseline_forecasts, baseline_metrics
+from tidewheel.plans.catalog import query
 from tidewheel.plans.adapters import DAILY, EVENTS, INDIVIDUALS, PANEL, individuals, panel
 from tidewheel.sources.readers import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 ID = ["country", "sector", "day"]
 
@@ -40,16 +36,6 @@ SQL_ID = "country, sector, CAST(emission_date AS VARCHAR) AS day"
 SERIES = "PARTITION BY country, sector ORDER BY emission_date"
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return register
-
-
 def r6(*names: str) -> list[Column]:
     return [F.round(n, 6).alias(n) for n in names]
 

@@ -47,9 +47,13 @@ def write_top_json(df: DataFrame, path: str, order: Sequence, n: int) -> None:
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Metric table as JSON and, without nested columns, as CSV."""
-    metrics.write.mode("overwrite").json(f"{path}/json")
     flat = [f.name for f in metrics.schema.fields if f.dataType.typeName() not in ("map", "struct", "array")]
-    write_csv(metrics.select(*flat), f"{path}/csv")
+    metrics = metrics.persist()
+    try:
+        metrics.write.mode("overwrite").json(f"{path}/json")
+        write_csv(metrics.select(*flat), f"{path}/csv")
+    finally:
+        metrics.unpersist()
 
 
 def log_run(
