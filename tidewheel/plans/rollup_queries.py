@@ -441,12 +441,12 @@ def clean_inventory(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "inventory_clean",
     f"""WITH {INVENTORY} SELECT country_code, year, sector, emission_mtco2, per_capita_tco2,
-    CAST(year AS VARCHAR) || '-07-01 00:00:00' AS at, country_code AS meta_country, sector AS meta_sector, 'EDGAR' AS data_source
+    CAST(year AS VARCHAR) || '-07-01 00:00:00' AS at, country_code AS meta_country, sector AS meta_sector, 'annual_inventory' AS data_source
     FROM inventory WHERE emission_mtco2 > 0 AND year BETWEEN 1990 AND 2024""",
 )
 def inventory_clean(spark, folder):
     stamped = clean_inventory(spark, folder).withColumns(
-        {"timestamp": mid_year(F.col("year")), "data_source": F.lit("EDGAR")}
+        {"timestamp": mid_year(F.col("year")), "data_source": F.lit("annual_inventory")}
     )
     packed = pack(stamped, country="country_code", sector="sector")
     return packed.select(
