@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators.clean import WHISKER
+from tidewheel.operators.joins import join_same
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles, quantile_of_ranked, ranked_values
 
+SALTS = 32
+
 
 def dataset_profile(df: DataFrame, time: str, keys: Sequence[str], approx: bool = False) -> DataFrame:
     """Row count, time range and the number of distinct values of each key."""
@@ -91,9 +94,16 @@ def box_plot(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     v = F.col(value)
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
-    counts = df.where(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    # a group's distinct values are spread over the salts, so that a hot group is not joined in one task
+    counts = (
+        df.where(v.isNotNull())
+        .groupBy(*by, value)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
+    )
+    salted = quartiles.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1))))
     return (
-        counts.join(quartiles, list(by))
+        join_same(counts, salted, [*by, "_salt"])
         .groupBy(*by, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, v)).alias("whisker_low"),
