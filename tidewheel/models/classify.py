@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.feature import VectorAssembler
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.binning import quantile_code
 from tidewheel.functions.schema import label_column
+from tidewheel.models.regression import fit_kept
 from tidewheel.operators.encode import encode
 from tidewheel.operators.oversample import oversample
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles
@@ -66,8 +66,4 @@ def fit_balanced(
     train: DataFrame, features: Sequence[str], row_id: str, label: str = "label", seed: int = 42, **settings: object
 ) -> PipelineModel:
     """Oversample the training rows, then fit the boosted classifier on them."""
-    balanced = oversample(train, label, features, row_id, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return boosted_classifier(features, label, **settings).fit(balanced)
-    finally:
-        balanced.unpersist()
+    return fit_kept(boosted_classifier(features, label, **settings), oversample(train, label, features, row_id, seed=seed))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.operators.metrics import regression_metrics
 from tidewheel.operators.rollup import union_ragged
+from tidewheel.session import shared_dir
 
 # The forest's settings and the grid searched over them.
 FOREST = {"numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 5, "featureSubsetStrategy": "auto", "seed": 42}
@@ -37,13 +37,18 @@ def forest_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: s
     return Pipeline(stages=stages)
 
 
-def fit_cached(estimator: Estimator, train: DataFrame) -> Model:
-    """Fit with the training rows kept for the fit's many passes."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return estimator.fit(train)
-    finally:
-        train.unpersist()
+def kept(rows: DataFrame) -> DataFrame:
+    """Rows computed once for the many passes of a fit.
+
+    A checkpoint has as many partitions as its size calls for, whereas a cached frame keeps the session's full shuffle
+    width and pays one task per partition in each of a tree's passes.
+    """
+    shared_dir(rows.sparkSession)
+    return rows.checkpoint()
+
+
+def fit_kept(estimator: Estimator, train: DataFrame) -> Model:
+    return estimator.fit(kept(train))
 
 
 def grid_search(
@@ -68,7 +73,7 @@ def grid_search(
         seed=seed,
         parallelism=parallelism,
     )
-    return fit_cached(search, train)
+    return fit_kept(search, train)
 
 
 def grid_results(train: DataFrame, model: CrossValidatorModel) -> DataFrame:
@@ -112,17 +117,15 @@ def ablation(
     estimator: Callable[[Sequence[str]], Estimator],
 ) -> DataFrame:
     """Scores of the same estimator on several feature sets; training and test rows are computed once."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        scored = [
+    train, test = kept(train), kept(test)
+    return union_ragged(
+        [
             regression_metrics(estimator(features).fit(train).transform(test), label, "prediction").select(
                 F.lit(name).alias("model_type"), F.lit(len(features)).alias("n_features"), "*"
             )
             for name, features in feature_sets.items()
         ]
-        return union_ragged(scored)
-    finally:
-        train.unpersist()
+    )
 
 
 def expanding_validation(
@@ -133,9 +136,9 @@ def expanding_validation(
     fold: str = "fold",
 ) -> DataFrame:
     """Fit on all rows of earlier folds and score the next one, for each of ``folds`` folds."""
-    folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        scored = [
+    folded = kept(folded)
+    return union_ragged(
+        [
             regression_metrics(
                 estimator.fit(folded.where(F.col(fold) < k)).transform(folded.where(F.col(fold) == k)),
                 label,
@@ -143,6 +146,4 @@ def expanding_validation(
             ).select(F.lit(k).alias("fold"), "*")
             for k in range(1, folds + 1)
         ]
-        return union_ragged(scored)
-    finally:
-        folded.unpersist()
+    )

@@ -14,7 +14,7 @@ from tidewheel.models.features import ABLATION_SETS, FEATURES, LAG_FEATURES, ROL
 from tidewheel.models.forecast import horizon_forecast, horizon_metrics
 from tidewheel.models.importance import permutation_importance
 from tidewheel.models.regression import (
-    ablation, boosted, expanding_validation, fit_cached, forest_pipeline, grid_results, grid_search, importances,
+    ablation, boosted, expanding_validation, fit_kept, forest_pipeline, grid_results, grid_search, importances,
 )
 from tidewheel.operators.encode import encode
 from tidewheel.operators.metrics import class_report, clip_low, regression_metrics
@@ -81,7 +81,8 @@ def rf_cv_eval(spark, folder):
 @query("rf_importance")
 def rf_importance(spark, folder):
     train, _ = _forest_rows(spark, folder)
-    model = forest_pipeline(FOREST_NUMERIC, ["country_code", "sector"], "emission_mtco2", numTrees=20).fit(train)
+    model = forest_pipeline(FOREST_NUMERIC, ["country_code", "sector"], "emission_mtco2", numTrees=20)
+    model = fit_kept(model, train)
     ranked = importances(model, train, [*FOREST_NUMERIC, "country_code", "sector"])
     return top(ranked, 10, "importance", ["feature"])
 
@@ -91,7 +92,8 @@ def scored_predictions(spark, folder):
     """A saved forest, loaded again, scores the test rows into a prediction table."""
     path = run_dir(spark, "forest")
     train, test = _forest_rows(spark, folder)
-    save_model(forest_pipeline(FOREST_NUMERIC, ["country_code", "sector"], "emission_mtco2", numTrees=20).fit(train), f"{path}/model")
+    forest = forest_pipeline(FOREST_NUMERIC, ["country_code", "sector"], "emission_mtco2", numTrees=20)
+    save_model(fit_kept(forest, train), f"{path}/model")
     scored = score(load_model(f"{path}/model"), test, ["country_code", "sector", "year", "emission_mtco2"], "random_forest")
     append(scored, path=f"{path}/predictions")
     return spark.read.parquet(f"{path}/predictions").select(
@@ -109,7 +111,7 @@ def gbt_regression(spark, folder):
     """Boosted trees that stop early on a validation slice between training and test rows."""
     parts = _panel_parts(spark, folder)
     fitting = parts.where(F.col("split") != "test").withColumn("held_out", F.col("split") == "validation")
-    model = fit_cached(boosted(FEATURES, "mtco2_per_day", "held_out", maxIter=ROUNDS, stepSize=0.2), fitting)
+    model = fit_kept(boosted(FEATURES, "mtco2_per_day", "held_out", maxIter=ROUNDS, stepSize=0.2), fitting)
     scored = model.transform(parts.where(F.col("split") == "test")).withColumn("prediction", clip_low(F.col("prediction")))
     return regression_metrics(scored, "mtco2_per_day", "prediction").withColumn(
         "rounds_used", F.lit(model.stages[-1].getNumTrees)
@@ -185,7 +187,7 @@ def linear() -> Pipeline:
 @query("permutation_importance")
 def permutation_importance_query(spark, folder):
     parts = _panel_parts(spark, folder)
-    model = fit_cached(linear(), parts.where(F.col("split") == "train"))
+    model = fit_kept(linear(), parts.where(F.col("split") == "train"))
     return permutation_importance(
         model, parts.where(F.col("split") == "test"), LINEAR_FEATURES, "mtco2_per_day", ["country", "sector", "emission_date"]
     )
