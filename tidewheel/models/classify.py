@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions.binning import quantile_code
 from tidewheel.functions.schema import label_column
-from tidewheel.models.regression import fit_kept
+from tidewheel.models.regression import fit_kept, kept
 from tidewheel.operators.encode import encode
 from tidewheel.operators.oversample import oversample
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles
@@ -36,7 +36,8 @@ def prepare(df: DataFrame, target: str | None = None, max_classes: int = 20) ->
     """Turn the target into ``label`` codes and text columns into codes; drop rows with nulls.
 
     A target with more than ``max_classes`` distinct values is cut into tertiles, any other one is coded
-    alphabetically.  Choosing between the two counts the distinct values first.
+    alphabetically.  Choosing between the two counts the distinct values first; the result is checkpointed, since
+    splits, balancing and scoring all read it.
     """
     target = target or label_column(df)
     distinct = df.select(target).dropna().distinct().limit(max_classes + 1).count()
@@ -48,7 +49,7 @@ def prepare(df: DataFrame, target: str | None = None, max_classes: int = 20) ->
     text = [f.name for f in labelled.schema.fields if f.dataType.typeName() == "string"]
     coded = encode(labelled, text, "_encoded").drop(*text).withColumnsRenamed({f"{c}_encoded": c for c in text})
     features = [c for c in coded.columns if c != "label"]
-    return coded.dropna(), features
+    return kept(coded.dropna()), features
 
 
 def boosted_classifier(features: Sequence[str], label: str = "label", **settings: object) -> Pipeline:
@@ -66,4 +67,5 @@ def fit_balanced(
     train: DataFrame, features: Sequence[str], row_id: str, label: str = "label", seed: int = 42, **settings: object
 ) -> PipelineModel:
     """Oversample the training rows, then fit the boosted classifier on them."""
-    return fit_kept(boosted_classifier(features, label, **settings), oversample(train, label, features, row_id, seed=seed))
+    balanced = oversample(train, label, features, row_id, seed=seed)
+    return fit_kept(boosted_classifier(features, label, **settings), balanced)

@@ -27,12 +27,13 @@ def synthetic_rows(
 
     Each lies on the segment between a row and one of its ``k`` nearest neighbours of the same class.  A class takes
     its rows in turn as starting points; neighbour and place on the segment follow from the row, the copy number and
-    the seed, so a recomputed task gives the same rows.  Pass the training part only.
+    the seed, so a recomputed task gives the same rows.  Pass the training part only, checkpointed if it is costly to
+    compute: it is read several times.
     """
     shared_dir(train.sparkSession)
     rows = train.select(F.col(label), F.col(row_id), feature_vector(features).alias("_x")).withColumn(
         "_h", F.xxhash64(F.lit(seed), row_id)
-    ).checkpoint()
+    )
     largest = (
         rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).scalar()
     )
@@ -69,6 +70,7 @@ def oversample(
     train: DataFrame, label: str, features: Sequence[str], row_id: str, k: int = 5, seed: int = 42
 ) -> DataFrame:
     """The training rows and the synthetic ones, marked by ``is_synthetic``."""
-    original = train.select(label, *(F.col(c).cast("double").alias(c) for c in features))
-    made = synthetic_rows(train, label, features, row_id, k, seed)
-    return original.withColumn("is_synthetic", F.lit(False)).unionByName(made.withColumn("is_synthetic", F.lit(True)))
+    shared_dir(train.sparkSession)
+    rows = train.select(label, row_id, *(F.col(c).cast("double").alias(c) for c in features)).checkpoint()
+    made = synthetic_rows(rows, label, features, row_id, k, seed)
+    return rows.drop(row_id).withColumn("is_synthetic", F.lit(False)).unionByName(made.withColumn("is_synthetic", F.lit(True)))
