@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import chat, mixing, packing
-from tidewheel.llm.common import table
+from tidewheel.llm import chat, langid, mixing, packing, toxicity, warc, winnowing
+from tidewheel.llm.common import fold, table
+from tidewheel.session import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,3 +95,44 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("op4_winnowing")
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = winnowing.with_next(table(spark, sf_dir, "documents"), {"print": winnowing.fingerprint(F.col("text"))})
+    changed = docs.withColumn("edited", winnowing.edited(F.col("text"), F.col("next_text")))
+    changed = changed.withColumn("edited_print", winnowing.fingerprint(F.col("edited")))
+    return changed.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        winnowing.digest(F.col("print")).alias("fingerprint"), winnowing.digest(F.col("edited_print")).alias("edited_fingerprint"),
+        winnowing.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        winnowing.likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+    )
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    profiles = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, profiles).withColumn("held_out", held_out)
+
+
+@query("op8_warc", """
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+       CASE WHEN strlen(html) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 100 AND page_id <> first THEN first END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM pages)
+""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 4) == 2
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).withColumn("held_out", held_out)
