@@ -35,6 +35,9 @@ WINDOW = 64
 PAD = bytes([0, 1, 2, 3, 4, 5, 6, 7, 8, 11, 12, 14, 15, 16, 17, 18])
 LEVEL = 1
 THRESHOLD = 0.3
+#: Bytes of shortening at which words are counted.
+STEPS = (2, 3, 4, 6)
+_FEATURES = "toxic int, " + ", ".join(f"f{n} double" for n in range(1 + len(STEPS)))
 SCORED = "doc_id long, score double, predicted int, shortening int"
 #: Distinct words whose distance a worker keeps.
 KEPT = 200_000
@@ -82,7 +85,7 @@ class Distance:
         return best
 
     def features(self, texts: pa.Array) -> np.ndarray:
-        """Per text: the largest shortening (8 at most), and how many words shorten by 3 and by 4 bytes (logarithms)."""
+        """Per text: the largest shortening (8 at most), and how many words shorten by each of ``STEPS`` (logarithms)."""
         split = pc.ascii_split_whitespace(pc.utf8_lower(texts))
         stops = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
@@ -102,7 +105,7 @@ class Distance:
         largest = np.zeros(len(texts), np.int64)
         text = np.repeat(np.arange(len(texts)), np.diff(stops))
         np.maximum.at(largest, text, np.minimum(own, 8))
-        counts = [np.log1p(np.bincount(text[own >= least], minlength=len(texts))) for least in (3, 4)]
+        counts = [np.log1p(np.bincount(text[own >= least], minlength=len(texts))) for least in STEPS]
         return np.column_stack([largest, *counts])
 
     def probability(self, features: np.ndarray) -> np.ndarray:
@@ -212,13 +215,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = saved(sample.withColumn("toxic", (F.col("toxic") > 0).cast("int")), "sample")
     totals = dict(ids.groupBy((F.col("toxic") > 0).cast("int")).count().collect())
     base = _ordinary(sample)
-    model = Model(base, base + b"".join(reversed(_stretches(sample))), (0.0,) * 4)
-    rows = sample.select("toxic", "text").mapInArrow(_features(pickle.dumps(model)), "toxic int, f0 double, f1 double, f2 double").collect()
+    model = Model(base, base + b"".join(reversed(_stretches(sample))), (0.0,) * (2 + len(STEPS)))
+    rows = sample.select("toxic", "text").mapInArrow(_features(pickle.dumps(model)), _FEATURES).collect()
     y = np.array([r[0] for r in rows], float)
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if not 0 < y.sum() < len(y):
         odds = math.log(max(share, 1e-6) / max(1 - share, 1e-6))
-        return Model(base, base, (odds, 0.0, 0.0, 0.0))
+        return Model(base, base, (odds, *(0.0,) * (1 + len(STEPS))))
     weight = np.where(y == 1, totals[1] / y.sum(), totals[0] / (1 - y).sum())
     weight *= len(y) / weight.sum()
     return Model(model.ordinary, model.toxic, logistic(np.array([r[1:] for r in rows], float), y, weight))
@@ -229,7 +232,7 @@ def _features(packed: bytes):
         distance = _distance(packed)
         for batch in batches:
             columns = distance.features(batch.column(1)).T.astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], ["toxic", "f0", "f1", "f2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], ["toxic", *(f"f{n}" for n in range(1 + len(STEPS)))])
 
     return run
 
