@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import chat, langid, mixing, packing, toxicity, warc, winnowing
+from tidewheel.llm import chat, langid, lm, mixing, packing, toxicity, warc, winnowing
 from tidewheel.llm.common import fold, table
 from tidewheel.session import run_dir
 
@@ -136,3 +136,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold("doc_id", 4) == 2
     model = toxicity.fit(docs, labels.where(~held_out))
     return toxicity.score(docs, model).withColumn("held_out", held_out)
+
+
+@query("op6_lm_score")
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 7) == 2
+    trie = lm.train(docs.where(~held_out))
+    return lm.score(docs, trie).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(trie.total).cast("long"))
