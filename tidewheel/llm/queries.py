@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import chat, langid, lm, mixing, packing, toxicity, warc, winnowing
+from tidewheel.llm import chat, jaccard_join, langid, lm, mixing, packing, toxicity, warc, winnowing
 from tidewheel.llm.common import fold, table
 from tidewheel.session import run_dir
 
@@ -144,3 +144,8 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold("doc_id", 7) == 2
     trie = lm.train(docs.where(~held_out))
     return lm.score(docs, trie).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(trie.total).cast("long"))
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents"))
