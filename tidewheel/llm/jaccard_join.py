@@ -26,16 +26,15 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.common import bounded_batches, saved
 from tidewheel.llm.components import components
+from tidewheel.llm.idsets import bits_of, hits, places
 
 #: Words in a shingle, and the similarity asked for, in hundredths.
 K, PERCENT = 3, 90
-#: A token in the first part of more sets than this goes to the end of the order; so many such tokens at most, the most
-#: frequent ones.  The order decides speed, never the result.
-FREQUENT, MOST_FREQUENT, FIRST_PART = 16, 1 << 20, 0.15
+#: A token in the first part (by hash) of more sets than this goes to the end of the order; so many such tokens at most,
+#: the most frequent ones.  The order decides speed, never the result.
+FREQUENT, MOST_FREQUENT = 16, 1 << 20
 #: Groups under a token up to which all pairs are tried at once; rows of a block.
 FEW, BLOCK = 8, 256
-#: Bits of the filter that picks the texts needed for verification.
-FILTER_BITS = 26
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -114,7 +113,7 @@ def _enough(overlap, n, m, percent: int):
     return (100 + percent) * overlap >= percent * (n + m)
 
 
-def frequent_tokens(docs: DataFrame, k: int, first_part: float = FIRST_PART) -> np.ndarray:
+def frequent_tokens(docs: DataFrame, k: int, first_part: float) -> np.ndarray:
     """Tokens that stand in the first part, by hash, of more than ``FREQUENT`` sets; sorted, ``MOST_FREQUENT`` at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,17 +283,6 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "s_a", "a_doc", "n_b", "s_b", "b_doc").mapInArrow(run, "a long, b long, a_doc long, b_doc long")
 
 
-def _wanted(ids: DataFrame) -> np.ndarray:
-    """A bit filter over ids, ``2 ** FILTER_BITS`` bits however many there are: two bits per id."""
-    word = lambda seed: F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 64 - FILTER_BITS)
-    bits = ids.select(F.explode(F.array(word(1), word(2))).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    rows = words.toArrow()
-    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return out.view(np.uint64)
-
-
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """Pairs (``a, b``) that are as alike as asked, by their whole sets.
 
@@ -303,16 +291,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str
     """
     pairs = saved(pairs, f"{name}-pairs")
     ids = pairs.select(F.explode(F.array("a_doc", "b_doc")).alias("id")).distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(_wanted(ids))
-    place = lambda seed: F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed)), 64 - FILTER_BITS)
+    bits = docs.sparkSession.sparkContext.broadcast(bits_of(ids, "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = bits.value
         for batch in batches:
-            places = [batch.column(i).to_numpy() for i in (1, 2)]
-            hit = np.ones(batch.num_rows, bool)
-            for p in places:
-                hit &= (words[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+            hit = hits(bits.value, batch.column(1).to_numpy(), batch.column(2).to_numpy())
             texts = batch.column(0).filter(pa.array(hit))
             sets = [s for s in shingle_sets(texts, k) if len(s)] if len(texts) else []
             nodes = [int.from_bytes(xxhash.xxh3_128_digest(s.tobytes())[:8], "little", signed=True) for s in sets]
@@ -320,7 +303,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str
                 [pa.array(nodes, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "tokens"]
             )
 
-    sets = docs.select("text", place(1).alias("p1"), place(2).alias("p2")).mapInArrow(run, "node long, tokens array<long>")
+    sets = docs.select("text", *places(F.col("doc_id"))).mapInArrow(run, "node long, tokens array<long>")
     needed_nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = saved(sets.join(needed_nodes, "node", "left_semi").dropDuplicates(["node"]), f"{name}-sets")
     both = pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
@@ -377,7 +360,7 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    raw = saved(_described(docs, frequent_tokens(docs, k), k, percent), "described")
+    raw = saved(_described(docs, frequent_tokens(docs, k, 1.4 * (100 - percent) / 100), k, percent), "described")
     some = raw.where("n > 0")
     classes = saved(
         some.groupBy("n", "sig").agg(

@@ -117,25 +117,35 @@ class Profiles:
         return self.langs[order[0]], 1 - best / most, (second - best) / most
 
 
-def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:
-    """``docs`` (``doc_id, text``) with ``lang_pred, score, margin``.
-
-    Null texts, texts without a letter, and every text if nothing was learned, are ``und`` with score 0.  Equal
-    distances go to the language that is first by name.  Profiles come to the driver: at most ``size`` rows a language.
-    """
+def _rated(docs: DataFrame, kept: list[str], profiles: DataFrame, size: int) -> DataFrame:
+    """Columns ``kept`` of ``docs`` and the prediction; profiles come to the driver, ``size`` rows a language."""
     known = Profiles([tuple(r) for r in profiles.select("lang", "rank", "gram").collect()], size)
+    added = ["lang_pred", "score", "margin"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [known.nearest(t.as_py()) for t in batch.column(1)]
-            langs, scores, margins = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())],
-                ["doc_id", "lang_pred", "score", "margin"],
-            )
+            found = [known.nearest(t.as_py()) for t in batch.column(0)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*found) if found else ((), (), ()), (pa.string(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], [*kept, *added])
 
     bounded_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, {PREDICTED}")
+    rows = docs.select(F.col("text").alias("_text"), *kept)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
+    return rows.mapInArrow(run, f"{schema}, {PREDICTED}")
+
+
+def rate(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:
+    """``docs`` with ``lang_pred, score, margin`` of their ``text``; columns of these names are replaced.
+
+    Null texts, texts without a letter, and every text if nothing was learned, are ``und`` with score 0.  Equal
+    distances go to the language that is first by name.
+    """
+    return _rated(docs, [c for c in docs.columns if c not in ("lang_pred", "score", "margin")], profiles, size)
+
+
+def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:
+    """As :func:`rate`, but ``doc_id`` and the prediction only."""
+    return _rated(docs, ["doc_id"], profiles, size)
 
 
 def fit(docs: DataFrame, size: int = PROFILE) -> DataFrame:

@@ -87,45 +87,58 @@ def _boundaries(pool: DataFrame, gaps: DataFrame, name: str) -> DataFrame:
     return state.select("key", "gap", "spent", F.when(F.col("all"), top).otherwise(F.col("prefix")).alias("below"))
 
 
-def mix(
+def _key(source: str = "source"):
+    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
+
+
+def plan(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, passes: int = PASSES
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, copies, taken``: how often the mix takes each document.
+    """One row per source: its size and target, the whole copies of its documents, and the limits of each pass.
 
-    ``docs`` needs ``doc_id, text, source``; other columns are not read.  Null texts have size 0 and are not taken; a null
-    source is a source like any other and comes last.  Rows with equal ids have equal hashes and are taken together or
-    not at all, so a repeated row changes no other.  An empty table gives an empty one.  The text is read once: sizes
-    are written to the shared folder, and all sums run over them.
+    ``docs`` needs ``doc_id, text, source``; other columns are not read.  The text is read once: sizes are written to the
+    shared folder, and all sums run over them.
     """
-    sizes = saved(
-        docs.select("doc_id", "source", word_count().alias("size"), document_hash().alias("hash")), "sizes"
-    )
+    sizes = saved(docs.select("source", word_count().alias("size"), document_hash().alias("hash")), "sizes")
     targets = source_targets(sizes, weights, most)
-    key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    targets = targets.select(key.alias("key"), "source_size", "target", whole.alias("whole"))
+    targets = targets.select(_key().alias("key"), "source_size", "target", whole.alias("whole"))
     gap = F.floor(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")
-    targets = saved(targets.withColumn("gap", gap), "targets")
-    rows = sizes.withColumn("key", key)
-    pool = rows.where(F.col("size") > 0).select("key", "hash", "size")
-    gaps, chosen = targets.select("key", "gap"), F.lit(False)
-    marked = targets
+    marked = saved(targets.withColumn("gap", gap), "targets")
+    pool = sizes.where(F.col("size") > 0).select(_key().alias("key"), "hash", "size")
+    gaps = marked.select("key", "gap")
     for number in range(passes):
         fitting = pool.join(gaps, "key").where(F.col("size") <= F.col("gap"))
-        for earlier in range(number):
-            limits = marked.select("key", F.col(f"gap_{earlier}"), F.col(f"below_{earlier}"))
-            fitting = fitting.join(limits, "key").where(
-                ~((F.col("size") <= F.col(f"gap_{earlier}")) & (F.col("hash") < F.col(f"below_{earlier}")))
-            )
+        if number:
+            fitting = fitting.join(marked.drop("gap"), "key").where(~_chosen(number))
         found = _boundaries(fitting.select("key", "hash", "size"), gaps, f"mix-{number}")
-        marked = saved(
-            marked.join(found.select("key", F.col("gap").alias(f"gap_{number}"), F.col("below").alias(f"below_{number}"), F.col("spent").alias(f"spent_{number}")), "key"),
-            f"limits-{number}",
-        )
+        limits = found.select("key", *[F.col(c).alias(f"{c}_{number}") for c in ("gap", "below", "spent")])
+        marked = saved(marked.join(limits, "key"), f"limits-{number}")
         gaps = marked.select("key", (F.col(f"gap_{number}") - F.col(f"spent_{number}")).alias("gap"))
-        chosen = chosen | ((F.col("size") <= F.col(f"gap_{number}")) & (F.col("hash") < F.col(f"below_{number}")))
-    copies = F.when(F.col("size") > 0, F.col("whole") + chosen.cast("long")).otherwise(F.lit(0)).cast("long")
-    out = rows.join(marked, "key").withColumn("copies", copies)
-    return out.select(
-        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+    return marked
+
+
+def _chosen(passes: int):
+    """Whether a pass before number ``passes`` takes one more copy of a document."""
+    out = F.lit(False)
+    for n in range(passes):
+        out = out | ((F.col("size") <= F.col(f"gap_{n}")) & (F.col("hash") < F.col(f"below_{n}")))
+    return out
+
+
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, passes: int = PASSES
+) -> DataFrame:
+    """``docs`` with ``size, source_size, target, copies, taken``: how often the mix takes each document.
+
+    ``docs`` needs ``doc_id, text, source``; other columns stay, but for those with the names added.  Null texts have
+    size 0 and are not taken; a null source is a source like any other and comes last.  Rows with equal ids have equal
+    hashes and are taken together or not at all, so a repeated row changes no other.  An empty table gives an empty one.
+    """
+    limits = plan(docs, weights, most, passes)
+    added = ["size", "source_size", "target", "copies", "taken"]
+    kept = [c for c in docs.columns if c not in added]
+    rows = docs.select(*kept).withColumns({"size": word_count(), "hash": document_hash(), "key": _key()})
+    copies = F.when(F.col("size") > 0, F.col("whole") + _chosen(passes).cast("long")).otherwise(F.lit(0)).cast("long")
+    out = rows.join(limits, "key").withColumn("copies", copies)
+    return out.select(*kept, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))

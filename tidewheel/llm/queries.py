@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import chat, jaccard_join, langid, lm, mixing, packing, toxicity, warc, winnowing
+from tidewheel.llm import chat, curves, jaccard_join, langid, lm, mixing, packing, toxicity, warc, winnowing
 from tidewheel.llm.common import fold, table
 from tidewheel.session import run_dir
 
@@ -86,7 +86,8 @@ FROM p{mixing.PASSES}
 
 @query("op3_mix_sources", MIX_SQL)
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
 @query("op7_best_fit_packing")
@@ -149,3 +150,8 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"))
+
+
+@query("op2_hilbert_neighbours")
+def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import bounded_batches, saved
+from tidewheel.llm.common import bounded_batches, by_hash, saved
 
 #: Labelled rows a model is fitted on, of each label at most: those whose ids have the smallest hashes.
 TOXIC_ROWS, ORDINARY_ROWS = 1_500, 4_500
@@ -38,7 +38,8 @@ THRESHOLD = 0.3
 #: Bytes of shortening at which words are counted.
 STEPS = (2, 3, 4, 6)
 _FEATURES = "toxic int, " + ", ".join(f"f{n} double" for n in range(1 + len(STEPS)))
-SCORED = "doc_id long, score double, predicted int, shortening int"
+ADDED = ("score", "predicted", "shortening")
+SCORED = "score double, predicted int, shortening int"
 #: Distinct words whose distance a worker keeps.
 KEPT = 200_000
 
@@ -173,7 +174,7 @@ def _ordinary(sample: DataFrame) -> bytes:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["part"])
 
     windows = sample.where("toxic = 0").select("text").mapInArrow(cut, "part binary")
-    rows = windows.withColumn("hash", F.xxhash64("part")).orderBy("hash", "part").limit(TRAIN_WINDOWS).collect()
+    rows = by_hash(saved(windows, "windows"), TRAIN_WINDOWS, "part").collect()
     parts = [bytes(r[0]) for r in rows]
     try:
         return zstandard.train_dictionary(2 * DICTIONARY, parts).as_bytes()[-DICTIONARY:]
@@ -208,8 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     present = marks.join(docs.where(F.col("text").isNotNull()).select("doc_id").distinct(), "doc_id", "left_semi")
     ids = saved(present, "labelled")
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    chosen = ids.where("toxic > 0").orderBy(*order).limit(TOXIC_ROWS).unionByName(ids.where("toxic = 0").orderBy(*order).limit(ORDINARY_ROWS))
+    chosen = by_hash(ids.where("toxic > 0"), TOXIC_ROWS, "doc_id").unionByName(by_hash(ids.where("toxic = 0"), ORDINARY_ROWS, "doc_id"))
     # at most TOXIC_ROWS + ORDINARY_ROWS ids
     sample = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     sample = saved(sample.withColumn("toxic", (F.col("toxic") > 0).cast("int")), "sample")
@@ -237,19 +237,31 @@ def _features(packed: bytes):
     return run
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, score, predicted, shortening`` for every row of ``docs`` (``doc_id, text``); a null text counts as empty."""
+def _rated(docs: DataFrame, kept: list[str], model: Model, threshold: float) -> DataFrame:
     packed = pickle.dumps(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distance = _distance(packed)
         for batch in batches:
-            features = distance.features(batch.column(1))
+            features = distance.features(batch.column(0))
             found = distance.probability(features)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found), pa.array((found >= threshold).astype(np.int32)), pa.array(features[:, 0].astype(np.int32))],
-                ["doc_id", "score", "predicted", "shortening"],
-            )
+            added = [pa.array(found), pa.array((found >= threshold).astype(np.int32)), pa.array(features[:, 0].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *added], [*kept, *ADDED])
 
     bounded_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SCORED)
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("_text"), *kept)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
+    return rows.mapInArrow(run, f"{schema}, {SCORED}")
+
+
+def rate(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with ``score, predicted, shortening`` of their ``text``; columns of these names are replaced.
+
+    A null text counts as empty.
+    """
+    return _rated(docs, [c for c in docs.columns if c not in ADDED], model, threshold)
+
+
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """As :func:`rate`, but ``doc_id`` and what is added only."""
+    return _rated(docs, ["doc_id"], model, threshold)
