@@ -23,7 +23,6 @@ LETTERS = regex.compile(r"\p{L}+")
 PROFILE, COMPARED = 500, 400
 UNKNOWN = "und"
 _EDGE, _BITS = ord("_"), 21
-PREDICTED = "lang_pred string, score double, margin double"
 
 
 def grams(text: str) -> np.ndarray:
@@ -117,35 +116,39 @@ class Profiles:
         return self.langs[order[0]], 1 - best / most, (second - best) / most
 
 
-def _rated(docs: DataFrame, kept: list[str], profiles: DataFrame, size: int) -> DataFrame:
+ADDED = ("lang_pred", "score", "margin")
+
+
+def _rated(docs: DataFrame, kept: list[str], names: tuple[str, ...], profiles: DataFrame, size: int) -> DataFrame:
     """Columns ``kept`` of ``docs`` and the prediction; profiles come to the driver, ``size`` rows a language."""
     known = Profiles([tuple(r) for r in profiles.select("lang", "rank", "gram").collect()], size)
-    added = ["lang_pred", "score", "margin"]
+    given = kept if "text" in kept else [*kept, "text"]
+    at = given.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [known.nearest(t.as_py()) for t in batch.column(0)]
+            found = [known.nearest(t.as_py()) for t in batch.column(at)]
             columns = [pa.array(c, t) for c, t in zip(zip(*found) if found else ((), (), ()), (pa.string(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], [*kept, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], [*kept, *names])
 
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col("text").alias("_text"), *kept)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return rows.mapInArrow(run, f"{schema}, {PREDICTED}")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema]
+    fields += [f"`{n}` {t}" for n, t in zip(names, ("string", "double", "double"))]
+    return docs.select(*given).mapInArrow(run, ", ".join(fields))
 
 
-def rate(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:
-    """``docs`` with ``lang_pred, score, margin`` of their ``text``; columns of these names are replaced.
+def rate(docs: DataFrame, profiles: DataFrame, size: int = PROFILE, names: tuple[str, ...] = ADDED) -> DataFrame:
+    """``docs`` with predicted language, closeness and lead of their ``text``; columns of these ``names`` are replaced.
 
     Null texts, texts without a letter, and every text if nothing was learned, are ``und`` with score 0.  Equal
     distances go to the language that is first by name.
     """
-    return _rated(docs, [c for c in docs.columns if c not in ("lang_pred", "score", "margin")], profiles, size)
+    return _rated(docs, [c for c in docs.columns if c not in names], names, profiles, size)
 
 
 def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:
     """As :func:`rate`, but ``doc_id`` and the prediction only."""
-    return _rated(docs, ["doc_id"], profiles, size)
+    return _rated(docs, ["doc_id"], ADDED, profiles, size)
 
 
 def fit(docs: DataFrame, size: int = PROFILE) -> DataFrame:

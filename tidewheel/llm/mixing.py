@@ -136,9 +136,11 @@ def mix(
     hashes and are taken together or not at all, so a repeated row changes no other.  An empty table gives an empty one.
     """
     limits = plan(docs, weights, most, passes)
-    added = ["size", "source_size", "target", "copies", "taken"]
+    added = ("size", "source_size", "target", "copies", "taken")
     kept = [c for c in docs.columns if c not in added]
-    rows = docs.select(*kept).withColumns({"size": word_count(), "hash": document_hash(), "key": _key()})
+    # other columns travel in a struct, out of the way of the names used here
+    row = F.struct(*kept).alias("row")
+    rows = docs.select(row, word_count().alias("size"), document_hash().alias("hash"), _key().alias("key"))
     copies = F.when(F.col("size") > 0, F.col("whole") + _chosen(passes).cast("long")).otherwise(F.lit(0)).cast("long")
     out = rows.join(limits, "key").withColumn("copies", copies)
-    return out.select(*kept, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("row.*", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))

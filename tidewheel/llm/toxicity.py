@@ -39,7 +39,6 @@ THRESHOLD = 0.3
 STEPS = (2, 3, 4, 6)
 _FEATURES = "toxic int, " + ", ".join(f"f{n} double" for n in range(1 + len(STEPS)))
 ADDED = ("score", "predicted", "shortening")
-SCORED = "score double, predicted int, shortening int"
 #: Distinct words whose distance a worker keeps.
 KEPT = 200_000
 
@@ -237,31 +236,33 @@ def _features(packed: bytes):
     return run
 
 
-def _rated(docs: DataFrame, kept: list[str], model: Model, threshold: float) -> DataFrame:
+def _rated(docs: DataFrame, kept: list[str], names: tuple[str, ...], model: Model, threshold: float) -> DataFrame:
     packed = pickle.dumps(model)
+    given = kept if "text" in kept else [*kept, "text"]
+    at = given.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distance = _distance(packed)
         for batch in batches:
-            features = distance.features(batch.column(0))
+            features = distance.features(pc.fill_null(batch.column(at), ""))
             found = distance.probability(features)
             added = [pa.array(found), pa.array((found >= threshold).astype(np.int32)), pa.array(features[:, 0].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *added], [*kept, *ADDED])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *added], [*kept, *names])
 
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("_text"), *kept)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return rows.mapInArrow(run, f"{schema}, {SCORED}")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema]
+    fields += [f"`{n}` {t}" for n, t in zip(names, ("double", "int", "int"))]
+    return docs.select(*given).mapInArrow(run, ", ".join(fields))
 
 
-def rate(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score, predicted, shortening`` of their ``text``; columns of these names are replaced.
+def rate(docs: DataFrame, model: Model, threshold: float = THRESHOLD, names: tuple[str, ...] = ADDED) -> DataFrame:
+    """``docs`` with the score of their ``text``, whether it reaches ``threshold``, and its largest shortening.
 
-    A null text counts as empty.
+    Columns of these ``names`` are replaced.  A null text counts as empty.
     """
-    return _rated(docs, [c for c in docs.columns if c not in ADDED], model, threshold)
+    return _rated(docs, [c for c in docs.columns if c not in names], names, model, threshold)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """As :func:`rate`, but ``doc_id`` and what is added only."""
-    return _rated(docs, ["doc_id"], model, threshold)
+    return _rated(docs, ["doc_id"], ADDED, model, threshold)
