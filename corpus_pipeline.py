@@ -18,14 +18,14 @@ LEAST_CLOSENESS = 0.25
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts close to no language that the documents' own ``lang`` column teaches."""
-    rated = langid.rate(docs, langid.fit(docs))
-    return rated.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_CLOSENESS)).select(*docs.columns)
+    rated = langid.rate(docs, langid.fit(docs), names=("_lang", "_closeness", "_lead"))
+    return rated.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_closeness") >= LEAST_CLOSENESS)).select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that the compression distance, learned from ``labels``, calls toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.rate(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.rate(docs, model, names=("_score", "_toxic", "_shortening")).where("_toxic = 0").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    mixed = mixing.mix(docs).where("copies > 0")
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    mixed = mixing.mix(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row"))).where("copies > 0")
+    return mixed.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
