@@ -9,17 +9,22 @@ from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidewheel.functions.binning import quantile_code
 from tidewheel.functions.schema import label_column
 from tidewheel.models.regression import fit_kept, kept
-from tidewheel.operators.encode import encode
+from tidewheel.operators.encode import encode, ordered_codes
+from tidewheel.operators.joins import join_same
 from tidewheel.operators.oversample import oversample
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles
 
 # The boosted classifier's settings.
 BOOSTING = {"maxIter": 300, "stepSize": 0.1, "maxDepth": 5, "subsamplingRate": 0.8, "seed": 42}
 
+# Fixed value: what a missing category is called before coding.
+NULL_CATEGORY = "nan"
+
 
 def tertile_label(df: DataFrame, value: str, name: str = "label", bins: int = 3, approx: bool = False) -> DataFrame:
     """Class 0..bins-1 by the value's quantiles; values equal to an edge go to the lower class."""
@@ -33,21 +38,28 @@ def tertile_label(df: DataFrame, value: str, name: str = "label", bins: int = 3,
 
 
 def prepare(df: DataFrame, target: str | None = None, max_classes: int = 20) -> tuple[DataFrame, list[str]]:
-    """Turn the target into ``label`` codes and text columns into codes; drop rows with nulls.
+    """Turn the target into ``label`` codes and text columns into codes.
 
-    A target with more than ``max_classes`` distinct values is cut into tertiles, any other one is coded
-    alphabetically.  Choosing between the two counts the distinct values first; the result is checkpointed, since
-    splits, balancing and scoring all read it.
+    A target with more than ``max_classes`` distinct values is cut into tertiles.  Of any other, integers stay as they
+    are, text is coded alphabetically and other types in their own order.  A null in a text column is a category of its
+    own, called ``NULL_CATEGORY``; rows with any other null are dropped.  Choosing the coding counts the distinct values
+    first; the result is checkpointed, since splits, balancing and scoring all read it.
     """
     target = target or label_column(df)
+    kind = df.schema[target].dataType
     distinct = df.select(target).dropna().distinct().limit(max_classes + 1).count()
     if distinct > max_classes:
-        labelled = tertile_label(df, target).drop(target)
+        labelled = tertile_label(df, target, "_label")
+    elif isinstance(kind, IntegralType):
+        labelled = df.withColumn("_label", F.col(target).cast("int"))
     else:
-        labelled = encode(df, [target], "_code").withColumn("label", F.col(f"{target}_code").cast("int"))
-        labelled = labelled.drop(target, f"{target}_code")
+        codes = ordered_codes(df, target, "_label").withColumn("_label", F.col("_label").cast("int"))
+        labelled = join_same(df, codes, [target], "left")
+    # the target may be called label itself
+    labelled = labelled.drop(target).withColumnRenamed("_label", "label")
     text = [f.name for f in labelled.schema.fields if f.dataType.typeName() == "string"]
-    coded = encode(labelled, text, "_encoded").drop(*text).withColumnsRenamed({f"{c}_encoded": c for c in text})
+    named = labelled.withColumns({c: F.coalesce(c, F.lit(NULL_CATEGORY)) for c in text})
+    coded = encode(named, text, "_encoded").drop(*text).withColumnsRenamed({f"{c}_encoded": c for c in text})
     features = [c for c in coded.columns if c != "label"]
     return kept(coded.dropna()), features
 

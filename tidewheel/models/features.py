@@ -19,6 +19,7 @@ FEATURES = TIME_FEATURES + LAG_FEATURES + ROLLING_FEATURES + KEY_FEATURES
 # Columns of the sequence forecaster, next to the value itself.
 SEQUENCE_FEATURES = ROLLING_FEATURES + LAG_FEATURES + ("month_sin", "month_cos", "is_weekend")
 
+# The feature sets that the ablation compares.
 ABLATION_SETS = {
     "Ablation_TimeOnly": TIME_FEATURES + KEY_FEATURES,
     "Ablation_TimeLag": TIME_FEATURES + KEY_FEATURES + LAG_FEATURES,

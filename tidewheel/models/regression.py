@@ -20,7 +20,9 @@ from tidewheel.session import shared_dir
 FOREST = {"numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 5, "featureSubsetStrategy": "auto", "seed": 42}
 FOREST_GRID = {"numTrees": (50, 100), "maxDepth": (5, 8)}
 # The boosted regressor's settings.
-BOOSTING = {"maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "seed": 42}
+BOOSTING = {
+    "maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42,
+}
 
 
 def forest_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: str, **settings: object) -> Pipeline:
@@ -102,6 +104,14 @@ def boosted(features: Sequence[str], label: str, validation: str | None = None,
     )
 
 
+HELD_OUT = "held_out"
+
+
+def held_out(parts: DataFrame, split: str = "split") -> DataFrame:
+    """Training and validation rows of a split, the latter marked for :func:`boosted`."""
+    return parts.where(F.col(split) != "test").withColumn(HELD_OUT, F.col(split) == "validation")
+
+
 def importances(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Feature names with the tree model's importances; as many rows as features."""
     values = model.stages[-1].featureImportances.toArray()

@@ -39,6 +39,8 @@ def encode(
 
     The codes are those of all values in ``learn_from``, by default of ``df`` itself.
     """
+    if not columns:
+        return df
     codes = alphabetical_codes(df if learn_from is None else learn_from, columns)
     for c in columns:
         of_column = codes.where(F.col("column") == c).select(
@@ -48,6 +50,13 @@ def encode(
     return df
 
 
+def ordered_codes(df: DataFrame, column: str, name: str) -> DataFrame:
+    """One row per distinct value in its own order (numbers by size, dates by time), counted from 0."""
+    shared_dir(df.sparkSession)
+    values = df.select(column).where(F.col(column).isNotNull()).distinct().checkpoint()
+    return positions(values, [column], (), name)
+
+
 def index_by_frequency(train: DataFrame, df: DataFrame, column: str, name: str) -> DataFrame:
     """Codes learnt from ``train``; values not seen there (and null) get the next code after the last one."""
     codes = frequency_codes(train, column, name)

@@ -12,12 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.operators.joins import join_same
 from tidewheel.session import parallelism
 
 OVERSAMPLE = 8
 PIECES_PER_PARTITION = 2
-SAMPLE_ONE_IN = 256
+SAMPLE_BITS = 8
 
 
 def range_piece(df: DataFrame, order_by: Sequence[str], name: str = "_piece", pieces: int | None = None) -> DataFrame:
@@ -30,8 +29,8 @@ def range_piece(df: DataFrame, order_by: Sequence[str], name: str = "_piece", pi
     # Only the choice of cuts looks at a part of the keys.  One key in 256 enters, before any shuffle (a table too small
     # to give enough cuts that way needs no fine cutting); of those, the smallest hash of each slot stays, which map
     # tasks combine, so the number of rows that meet in one task is the number of slots.
-    hashed = df.select(key.alias("k"), F.xxhash64(key).alias("h")).where(F.pmod("h", F.lit(SAMPLE_ONE_IN)) == 0)
-    slot = F.pmod(F.floor(F.col("h") / SAMPLE_ONE_IN), F.lit(pieces * OVERSAMPLE))
+    hashed = df.select(key.alias("k"), F.xxhash64(key).alias("h")).where(F.pmod("h", F.lit(1 << SAMPLE_BITS)) == 0)
+    slot = F.pmod(F.shiftright("h", SAMPLE_BITS), F.lit(pieces * OVERSAMPLE))
     sample = (
         hashed.groupBy(slot.alias("slot"))
         .agg(F.min_by("k", "h").alias("k"))
@@ -81,13 +80,18 @@ def running_totals(
         *(F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in weights),
         *(F.sum(f"_t_{n}").over(whole).alias(f"{n}_total") for n in weights if group_totals),
     )
-    inside = (
-        Window.partitionBy(*keys, "_piece").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    # an offset stands before the rows of its piece, so one window adds it up with them and nothing is joined
+    first = offsets.select(
+        *keys, "_piece", F.lit(True).alias("_first"), *(F.col(f"_o_{n}").alias(f"_w_{n}") for n in weights),
+        *(F.col(f"{n}_total").alias(f"_g_{n}") for n in weights if group_totals),
     )
-    local = cut.withColumns({f"_l_{n}": F.coalesce(F.sum(f"_w_{n}").over(inside), F.lit(0)) for n in weights})
-    out = join_same(local, offsets, [*keys, "_piece"])
-    out = out.withColumns({n: F.col(f"_l_{n}") + F.col(f"_o_{n}") for n in weights})
-    return out.drop("_piece", *(f"{p}_{n}" for n in weights for p in ("_w", "_l", "_o")))
+    both = cut.withColumn("_first", F.lit(False)).unionByName(first, allowMissingColumns=True)
+    piece = Window.partitionBy(*keys, "_piece")
+    inside = piece.orderBy(F.desc("_first"), *order_by).rowsBetween(Window.unboundedPreceding, -1)
+    out = both.withColumns({n: F.sum(f"_w_{n}").over(inside) for n in weights})
+    if group_totals:
+        out = out.withColumns({f"{n}_total": F.max(f"_g_{n}").over(piece) for n in weights})
+    return out.where(~F.col("_first")).drop("_first", "_piece", *(f"{p}_{n}" for n in weights for p in ("_w", "_g")))
 
 
 def positions(

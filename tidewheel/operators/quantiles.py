@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators.ordering import running_totals
+from tidewheel.session import shared_dir
 
 
 def ranked_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Distinct non-null values per group with their count ``n``, the number of smaller values ``below`` and the
-    group size ``below_total``."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    group size ``below_total``.
+
+    The counts are checkpointed: cutting, summing and ordering read them, not the data.
+    """
+    shared_dir(df.sparkSession)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n")).checkpoint()
     return running_totals(counts, [value], {"below": F.col("n")}, by, group_totals=True)
 
 

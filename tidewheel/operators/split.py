@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewheel.operators.joins import join_same
 from tidewheel.operators.ordering import positions, running_totals
 from tidewheel.panel import Panel
+from tidewheel.session import shared_dir
 
 # Shares of the two usual splits.
 TRAIN_TEST = {"train": 0.8, "test": 0.2}
@@ -54,7 +55,8 @@ def global_split(
     """Cut the whole table by position in (keys, time) order: the last part holds the last *series*, not dates."""
     if panel.daily:
         # one row per series is ordered instead of all rows
-        sizes = df.groupBy(*panel.keys).agg(F.count(F.lit(1)).alias("_n"))
+        shared_dir(df.sparkSession)
+        sizes = df.groupBy(*panel.keys).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
         starts = running_totals(sizes, panel.keys, {"_start": F.col("_n")}, group_totals=True).drop("_n")
         placed = join_same(with_series_position(df, panel, "_p"), starts, panel.keys)
         placed = placed.withColumns({"_p": F.col("_p") + F.col("_start"), "_p_total": F.col("_start_total")})

@@ -17,11 +17,11 @@ from tidewheel.functions.calendar import mid_year, with_calendar
 from tidewheel.functions.schema import first_match, normalise, pack, sanitise_names, with_provenance
 from tidewheel.models.features import ABLATION_SETS, panel_features
 from tidewheel.models.forecast import baseline_forecasts, baseline_metrics
-from tidewheel.models.regression import ablation, boosted
+from tidewheel.models.regression import HELD_OUT, ablation, boosted, held_out
 from tidewheel.operators.clean import drop_null, positive, within
 from tidewheel.operators.rollup import group_profile, union_ragged
 from tidewheel.operators.series import trailing_features
-from tidewheel.operators.split import chronological_split
+from tidewheel.operators.split import TRAIN_VALIDATION_TEST, chronological_split
 from tidewheel.panel import Panel
 from tidewheel.sources.kafka import decode, valid
 from tidewheel.sources.readers import INVENTORY_SCHEMA, read_csv, read_parquet
@@ -107,23 +107,25 @@ def compare_models(
     run_id: str = "compare",
     **settings: object,
 ) -> DataFrame:
-    """Baselines and boosted trees on nested feature sets, scored on the last fifth of each series.
+    """Baselines and boosted trees on nested feature sets, scored on the last tenth of each series.
+
+    Boosting stops early on the tenth before, which no score sees.
 
     Metric records go to ``out/metrics`` as JSON and CSV and the run to ``out/runs``; returns the records.
     """
     spark, start = rows.sparkSession, datetime.now(timezone.utc)
     # the trees take no missing values, so the first 30 rows of a series are left out
     featured = panel_features(baseline_forecasts(rows, panel), panel, ("lag_7d", "lag_30d"))
-    parts = chronological_split(featured, panel)
+    parts = chronological_split(featured, panel, TRAIN_VALIDATION_TEST)
     path = f"{out}/features"
     parts.write.mode("overwrite").parquet(path)
     stored = read_parquet(spark, path)
-    train, test = stored.where(F.col("split") == "train"), stored.where(F.col("split") == "test")
+    train, test = held_out(stored), stored.where(F.col("split") == "test")
     names = {"naive": "Naive_Baseline_Yesterday", "moving_avg_7d": "Moving_Average_Baseline_7d"}
     metrics = union_ragged(
         [
             baseline_metrics(test, panel.value, names),
-            ablation(train, test, panel.value, feature_sets, lambda f: boosted(f, panel.value, **settings)),
+            ablation(train, test, panel.value, feature_sets, lambda f: boosted(f, panel.value, HELD_OUT, **settings)),
         ]
     ).withColumn("task", F.lit("panel regression"))
     write_metrics(metrics, f"{out}/metrics")

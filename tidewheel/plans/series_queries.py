@@ -332,9 +332,19 @@ def stratified_counts(spark, folder):
     return stratified_split(labelled, "label", ["id"]).groupBy("label", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("hash_split")
+@query(
+    "hash_split",
+    f"""WITH {PANEL} SELECT COUNT(*) AS n, ROUND(SUM(mtco2_per_day), 2) AS total, 2 AS parts, TRUE AS shares_hold FROM panel""",
+)
 def hash_split_query(spark, folder):
-    return _split_summary(hash_split(panel(spark, folder), ["country", "sector", "emission_date"]))
+    """The parts cover all rows once, and their shares lie within four standard errors of those asked for."""
+    parts = hash_split(panel(spark, folder), ["country", "sector", "emission_date"])
+    train = F.count_if(F.col("split") == "train")
+    n = F.count(F.lit(1))
+    return parts.agg(
+        n.alias("n"), F.round(F.sum("mtco2_per_day"), 2).alias("total"), F.count_distinct("split").cast("int").alias("parts"),
+        (F.abs(train - 0.8 * n) <= 4 * F.sqrt(0.8 * 0.2 * n)).alias("shares_hold"),
+    )
 
 
 @query(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -33,4 +35,22 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 def parallelism(spark: SparkSession) -> int:
     """Number of pieces to cut ordered data into: follows the cluster's shuffle width."""
-    return max(2, min(8192, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session, for clusters on which it is not installed.
+
+    Functions given to Spark name their module, and workers import it; they know nothing of the driver's path.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tidewheel_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    # on the driver only, which serves it to the executors
+    target = Path(tempfile.mkdtemp(prefix="tidewheel-")) / "tidewheel.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._tidewheel_shipped = True
