@@ -5,11 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from tidewheel.plans import registry
 from tests.compare import differences, expected, oracle, type_differences
 
 FOLDER = "/root/testdata/sf0.001"
-# these fit several models each and are exercised on fixtures in test_models
-SLOW = {"rf_cv_eval", "gbt_ablation", "gbt_multiclass"}
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +16,12 @@ def con():
     return oracle(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     rows = [tuple(r) for r in df.collect()]
-    if name in entry.oracle_sql():
-        names, kinds, wanted = expected(con, entry.oracle_sql()[name])
+    if name in registry.oracles():
+        names, kinds, wanted = expected(con, registry.oracles()[name])
         assert differences(df.columns, rows, names, wanted) is None
         assert type_differences(df, names, kinds) == []
     else:

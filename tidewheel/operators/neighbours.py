@@ -8,6 +8,7 @@ served by several tasks, each with its own copy of the leaf.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -19,7 +20,6 @@ from tidewheel.operators.joins import join_same
 from tidewheel.session import shared_dir
 
 SAMPLE_PER_LEAF = 8
-MAX_GROUPS = 10_000
 QUERIES_PER_TASK = 50_000
 BLOCK = 1 << 22
 
@@ -64,6 +64,9 @@ class LeafTree:
         return node
 
     def locate(self, group: str, points: np.ndarray) -> np.ndarray:
+        """Leaf of each point; a group without a tree is a leaf of its own, numbered below zero by its name."""
+        if group not in self.roots:
+            return np.full(len(points), -1 - zlib.crc32(group.encode()), dtype=np.int64)
         out = np.empty(len(points), dtype=np.int64)
         todo = [(self.roots[group], np.arange(len(points)))]
         while todo:
@@ -78,6 +81,8 @@ class LeafTree:
 
     def touched(self, group: str, own: int, point: np.ndarray, radius2: float) -> list[int]:
         """Other leaves of the group with a point of their box within the ball."""
+        if group not in self.roots:
+            return []
         found, todo = [], [self.roots[group]]
         while todo:
             node = todo.pop()
@@ -99,7 +104,10 @@ class LeafTree:
 def nearest(
     queries: np.ndarray, points: np.ndarray, copies: np.ndarray, k: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the candidate rows that cover k+1 copies (itself included) and their squared distances."""
+    """For each query the nearest rows that cover k+1 copies (itself included) and their squared distances.
+
+    Equal distances go by row, so at most k+1 rows are kept, however many lie equally far away.
+    """
     step = max(1, BLOCK // max(1, len(points) * points.shape[1]))
     for start in range(0, len(queries), step):
         delta = queries[start : start + step, None, :] - points[None, :, :]
@@ -109,17 +117,22 @@ def nearest(
         for i in range(len(rows)):
             limit = square[i, rows[i]].max()
             near = np.flatnonzero(square[i] <= limit) if width < len(points) else rows[i]
-            near = near[np.argsort(square[i, near], kind="stable")]
-            reached = np.cumsum(copies[near])
-            enough = np.searchsorted(reached, k + 1)
-            if enough < len(near):
-                near = near[square[i, near] <= square[i, near[enough]]]
+            near = np.sort(near)
+            near = near[np.argsort(square[i, near], kind="stable")][: k + 1]
+            enough = np.searchsorted(np.cumsum(copies[near]), k + 1)
+            near = near[: enough + 1]
             yield start + i, near, square[i, near]
 
 
 _CANDIDATES = "array<struct<d:double,vec:array<double>,m:bigint>>"
 
 
+def _in_order(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows by vector, so that equal distances are settled alike in every leaf."""
+    points = np.stack(pdf["vec"])
+    return pdf.iloc[np.lexsort(points.T[::-1])].reset_index(drop=True)
+
+
 def _pack(near: np.ndarray, square: np.ndarray, points: np.ndarray, copies: np.ndarray) -> list[dict]:
     return [{"d": float(d), "vec": points[j].tolist(), "m": int(copies[j])} for j, d in zip(near, square)]
 
@@ -130,8 +143,8 @@ def nearest_in_group(
     """Rows (group, vector, neighbours) for every distinct vector with at least one row where ``wanted`` is true.
 
     ``neighbours`` lists the vectors of the k nearest other rows of the same group, nearest first, a vector repeated
-    once per copy; it is shorter when the group has fewer rows.  Only the group sizes and a sample of at most
-    ``max_leaves * 8`` vectors reach the driver.  The merged vectors and the first search are checkpointed, since
+    once per copy; it is shorter when the group has fewer rows.  Only a sample of at most ``max_leaves * 8``
+    vectors reaches the driver.  The merged vectors and the first search are checkpointed, since
     several later steps read them.
     """
     shared_dir(df.sparkSession)
@@ -151,6 +164,7 @@ def nearest_in_group(
     placed = merged.mapInPandas(assign, "_g string, vec array<double>, m bigint, query boolean, leaf bigint")
 
     def search_own(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = _in_order(pdf)
         points, copies = np.stack(pdf["vec"]), pdf["m"].to_numpy()
         asked = np.flatnonzero(pdf["query"].to_numpy())
         name, leaf = pdf["_g"].iloc[0], int(pdf["leaf"].iloc[0])
@@ -164,7 +178,7 @@ def nearest_in_group(
             )
         return pd.DataFrame(rows, columns=["_g", "vec", "found", "visit", "radius"])
 
-    own = placed.groupBy("leaf").applyInPandas(
+    own = placed.groupBy("_g", "leaf").applyInPandas(
         search_own, f"_g string, vec array<double>, found {_CANDIDATES}, visit array<bigint>, radius double"
     ).checkpoint()
     visits = own.select("_g", "vec", "radius", F.explode("visit").alias("leaf"))
@@ -177,6 +191,7 @@ def nearest_in_group(
     def search_visited(queries: pd.DataFrame, leaf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(queries) and len(leaf):
+            leaf = _in_order(leaf)
             points, copies = np.stack(leaf["vec"]), leaf["m"].to_numpy()
             vectors, radius = np.stack(queries["vec"]), queries["radius"].to_numpy()
             for i, near, square in nearest(vectors, points, copies, k):
@@ -210,23 +225,28 @@ def nearest_in_group(
 
 
 def _grow(merged: DataFrame, leaf_rows: int, max_leaves: int) -> LeafTree:
-    sizes = merged.groupBy("_g").count().limit(MAX_GROUPS + 1).collect()
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups")
-    total = sum(r["count"] for r in sizes)
+    """A tree per group, from vectors with small hashes; a group too small to be among them needs none.
+
+    Rows that cannot be in the sample are filtered out by their hash before anything moves, so about twice the sample
+    is all that is ordered, however many partitions there are.
+    """
+    total = merged.count()
     leaves = int(min(max_leaves, max(1, -(-total // leaf_rows))))
-    wanted = {r["_g"]: max(1, round(leaves * r["count"] / total)) for r in sizes}
+    wanted = leaves * SAMPLE_PER_LEAF
+    place = F.pmod(F.xxhash64("_g", "vec"), F.lit(1 << 40))
+    share = min(1.0, (2 * wanted + 100) / max(1, total))
     picked = (
-        merged.select("_g", "vec")
-        .orderBy(F.xxhash64("_g", "vec"), "_g", "vec")
-        .limit(leaves * SAMPLE_PER_LEAF)
+        merged.select("_g", "vec", place.alias("place"))
+        .where(F.col("place") <= int((1 << 40) * share))
+        .orderBy("place", "_g", "vec")
+        .limit(wanted)
         .toPandas()
     )
-    dims = len(picked["vec"].iloc[0]) if len(picked) else 1
-    samples = {name: np.stack(rows["vec"]) for name, rows in picked.groupby("_g")}
     tree = LeafTree()
-    for name, count in wanted.items():
-        tree.grow(name, samples.get(name, np.zeros((1, dims))), int(np.ceil(np.log2(count))) if count > 1 else 0)
+    for name, rows in picked.groupby("_g"):
+        count = leaves * len(rows) / len(picked)
+        if count >= 2:
+            tree.grow(name, np.stack(rows["vec"]), int(np.ceil(np.log2(count))))
     return tree
 
 

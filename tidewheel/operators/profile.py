@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.operators.clean import WHISKER
 from tidewheel.operators.joins import join_same
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles, quantile_of_ranked, ranked_values
-
-SALTS = 32
+from tidewheel.session import parallelism
 
 
 def dataset_profile(df: DataFrame, time: str, keys: Sequence[str], approx: bool = False) -> DataFrame:
@@ -25,6 +24,12 @@ def dataset_profile(df: DataFrame, time: str, keys: Sequence[str], approx: bool
     )
 
 
+def key_values(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per distinct value of each key column (``key, value``), with its number of rows, from one pass."""
+    pairs = F.array(*(F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys))
+    return df.select(F.inline(pairs)).groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def describe(df: DataFrame, value: str, approx: bool = False) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum as one row."""
     probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -67,6 +72,16 @@ def correlation(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*entries)))
 
 
+def target_correlation(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
+    """Features by the strength of their correlation with the target, strongest first: ``feature, r, strength, place``."""
+    known = df.dropna(subset=[target, *features])
+    wide = known.agg(*(F.corr(F.col(f).cast("double"), F.col(target).cast("double")).alias(f"_{i}") for i, f in enumerate(features)))
+    rows = wide.select(F.inline(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f"_{i}").alias("r")) for i, f in enumerate(features)))))
+    # one row per feature
+    order = Window.orderBy(F.desc("strength"), "feature")
+    return rows.withColumn("strength", F.abs("r")).withColumn("place", F.row_number().over(order))
+
+
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins from minimum to maximum; the maximum belongs to the last bin, empty bins are left out."""
     ends = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("e")).scalar()
@@ -94,14 +109,15 @@ def box_plot(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     v = F.col(value)
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
-    # a group's distinct values are spread over the salts, so that a hot group is not joined in one task
+    # a group's distinct values are spread over as many salts as there are tasks, so that no group is joined in one
+    salts = parallelism(df.sparkSession)
     counts = (
         df.where(v.isNotNull())
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
+        .withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(salts)))
     )
-    salted = quartiles.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1))))
+    salted = quartiles.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1))))
     return (
         join_same(counts, salted, [*by, "_salt"])
         .groupBy(*by, "q1", "median", "q3")

@@ -112,8 +112,9 @@ def trailing_features(
     means: Sequence[int] = (7, 30),
     leak_free: bool = True,
     change: bool = False,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
-    """Lags, rolling means and percent change in one window pass.
+    """Lags, rolling means and percent change in one window pass; ``piece_rows`` as in :func:`over_series`.
 
     Means for model features must be ``leak_free``; means that include the current row are for description only.
     """
@@ -122,7 +123,7 @@ def trailing_features(
     columns |= {f"rolling_avg_{n}d": mean(panel.value, n) for n in means}
     if change:
         columns["pct_change"] = pct_change(panel.value)
-    return over_series(df, panel, columns)
+    return over_series(df, panel, columns, piece_rows)
 
 
 def sequences(

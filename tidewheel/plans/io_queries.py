@@ -24,7 +24,7 @@ from tidewheel.sources.readers import (
 from tidewheel.sources.writers import (
     append, log_run, write_csv, write_for_lookup, write_metrics, write_partitioned, write_top_json,
 )
-from tidewheel.streaming.sinks import read_latest, read_raw, start_aggregates, start_raw
+from tidewheel.streaming.sinks import compact, read_latest, read_raw, start_aggregates, start_raw
 from tidewheel.streaming.windows import KEYS, cumulative_totals, window_totals
 
 
@@ -369,3 +369,14 @@ def stream_top_windows(spark, folder):
     return top(out, 10, "total_mtco2", ["country", "sector", "window_start"]).select(
         "country", "sector", "window_start", "total_mtco2"
     )
+
+
+@query("stream_compacted", f"WITH {DAILY_TOTALS} SELECT {DAILY_COLUMNS}, TRUE AS several_batches FROM d")
+def stream_compacted(spark, folder):
+    """Update-mode results of several micro-batches, compacted to one version per window."""
+    path = run_dir(spark, "stream-compact")
+    totals = window_totals(valid_stream(spark, folder))
+    start_aggregates(totals, f"{path}/out", f"{path}/checkpoint", f"agg-{path[-8:]}", drain=True).awaitTermination()
+    batches = spark.read.parquet(f"{path}/out").agg(F.count_distinct("batch_id")).scalar()
+    compact(spark, f"{path}/out", WINDOW_KEYS, f"{path}/compacted")
+    return _windows(read_latest(spark, f"{path}/compacted", WINDOW_KEYS)).withColumn("several_batches", batches >= 3)

@@ -79,16 +79,18 @@ def job_inventory(spark, folder):
 )
 def job_individuals(spark, folder):
     path = run_dir(spark, "job-individuals")
-    write_csv(individuals(spark, folder), f"{path}/in")
-    stored = jobs.load_individuals(spark, f"{path}/in", "CarbonEmission", f"{path}/out")
+    rows = individuals(spark, folder)
+    write_csv(rows, f"{path}/in")
+    stored = jobs.load_individuals(spark, f"{path}/in", "CarbonEmission", f"{path}/out", rows.schema)
     return stored.select(F.col("id").cast("bigint").alias("id"), "emission_label", "order_total")
 
 
 @query("job_vehicles", f'WITH {CLEAN_VEHICLES} SELECT "Model", "Fuel_Type", "CO2_Emissionsg_per_km" FROM clean')
 def job_vehicles(spark, folder):
     path = run_dir(spark, "job-vehicles")
-    write_csv(vehicles(spark, folder), f"{path}/in")
-    stored = jobs.load_vehicles(spark, f"{path}/in", f"{path}/out")
+    rows = vehicles(spark, folder)
+    write_csv(rows, f"{path}/in")
+    stored = jobs.load_vehicles(spark, f"{path}/in", f"{path}/out", rows.schema)
     return stored.select(F.col("Model").cast("bigint").alias("Model"), "Fuel_Type", "CO2_Emissionsg_per_km")
 
 
@@ -99,9 +101,12 @@ def job_vehicles(spark, folder):
 )
 def job_speed_layer(spark, folder):
     path = run_dir(spark, "job-speed")
-    for q in jobs.run_speed_layer(messages(event_stream(spark, folder)), path, f"{path}/checkpoint", drain=True):
+    sink = {"format": "parquet", "path": f"{path}/collection"}
+    for q in jobs.run_speed_layer(messages(event_stream(spark, folder)), path, f"{path}/checkpoint", drain=True, sink=sink):
         q.awaitTermination()
-    raw = read_raw(spark, f"{path}/raw").groupBy("sector").agg(F.count(F.lit(1)).alias("raw_records"))
+    stored = read_raw(spark, f"{path}/raw").groupBy("sector").agg(F.count(F.lit(1)).alias("raw_records"))
+    sent = spark.read.parquet(f"{path}/collection").groupBy("sector").agg(F.count(F.lit(1)).alias("sent"))
+    raw = stored.join(sent, "sector").where("sent = raw_records").drop("sent")
     totals = (
         read_latest(spark, f"{path}/totals", ["country", "sector", "window_start"])
         .groupBy("sector")

@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidewheel.functions.binning import threshold_code, threshold_label
 from tidewheel.functions.calendar import mid_year, with_calendar
@@ -24,9 +25,9 @@ from tidewheel.operators.series import trailing_features
 from tidewheel.operators.split import TRAIN_VALIDATION_TEST, chronological_split
 from tidewheel.panel import Panel
 from tidewheel.sources.kafka import decode, valid
-from tidewheel.sources.readers import INVENTORY_SCHEMA, read_csv, read_parquet
+from tidewheel.sources.readers import INVENTORY_SCHEMA, PANEL_SCHEMA, read_csv, read_parquet
 from tidewheel.sources.writers import append, log_run, write_metrics, write_partitioned, write_top_json
-from tidewheel.streaming.sinks import start_aggregates, start_raw
+from tidewheel.streaming.sinks import start_aggregates, start_connector, start_raw
 from tidewheel.streaming.windows import window_totals
 
 DAILY = Panel(("country", "sector"), "emission_date", "mtco2_per_day", daily=True)
@@ -35,9 +36,11 @@ DAILY = Panel(("country", "sector"), "emission_date", "mtco2_per_day", daily=Tru
 def load_panel(spark: SparkSession, source: str, out: str) -> DataFrame:
     """Daily readings to described features, stored by country and year; returns the stored table.
 
-    The file must hold one row per country, sector and day.
+    Several readings of a country, sector and day are added up: a daily panel has one row per key and date, which the
+    window pass relies on.
     """
-    rows = normalise(read_csv(spark, source), "emission_date", "mtco2_per_day")
+    rows = normalise(read_csv(spark, source, PANEL_SCHEMA), "emission_date", "mtco2_per_day")
+    rows = rows.groupBy(*DAILY.keys, "emission_date").agg(F.round(F.sum("mtco2_per_day"), 6).alias("mtco2_per_day"))
     featured = trailing_features(with_calendar(rows, "emission_date"), DAILY, leak_free=False, change=True)
     stamped = pack(featured.dropna(subset=["lag_7d", "lag_30d"]), country="country", sector="sector").withColumn(
         "timestamp", F.to_timestamp("emission_date")
@@ -68,9 +71,9 @@ def load_inventory(spark: SparkSession, source: str, out: str, sink: Mapping[str
     return stored
 
 
-def load_individuals(spark: SparkSession, source: str, target: str, out: str) -> DataFrame:
-    """Individuals with class name and code."""
-    rows = read_csv(spark, source)
+def load_individuals(spark: SparkSession, source: str, target: str, out: str, schema: StructType | None = None) -> DataFrame:
+    """Individuals with class name and code; without ``schema`` the file is read once more to infer it."""
+    rows = read_csv(spark, source, schema)
     labelled = rows.withColumns(
         {"emission_class": threshold_label(F.col(target)), "emission_label": threshold_code(F.col(target))}
     )
@@ -78,9 +81,9 @@ def load_individuals(spark: SparkSession, source: str, target: str, out: str) ->
     return read_parquet(spark, out)
 
 
-def load_vehicles(spark: SparkSession, source: str, out: str) -> DataFrame:
-    """Vehicles with clean names and believable emissions."""
-    rows = sanitise_names(read_csv(spark, source))
+def load_vehicles(spark: SparkSession, source: str, out: str, schema: StructType | None = None) -> DataFrame:
+    """Vehicles with clean names and believable emissions; without ``schema`` the file is read once more to infer it."""
+    rows = sanitise_names(read_csv(spark, source, schema))
     emission = first_match(rows.columns, "(?i)co2")
     if emission:
         rows = within(rows, emission, 0, 1000, closed=False)
@@ -88,15 +91,23 @@ def load_vehicles(spark: SparkSession, source: str, out: str) -> DataFrame:
     return read_parquet(spark, out)
 
 
-def run_speed_layer(topic: DataFrame, out: str, checkpoint: str, drain: bool = False) -> list[StreamingQuery]:
-    """Store raw records and daily totals of a message stream side by side."""
+def run_speed_layer(
+    topic: DataFrame, out: str, checkpoint: str, drain: bool = False, sink: Mapping[str, str] | None = None
+) -> list[StreamingQuery]:
+    """Store raw records and daily totals of a message stream side by side.
+
+    ``sink`` holds format and options of a further sink for the raw records, such as a document store's collection.
+    """
     records = valid(decode(topic))
-    return [
+    running = [
         start_raw(records, f"{out}/raw", f"{checkpoint}/raw", f"raw-{checkpoint[-8:]}", drain),
         start_aggregates(
             window_totals(records), f"{out}/totals", f"{checkpoint}/totals", f"totals-{checkpoint[-8:]}", drain=drain
         ),
     ]
+    if sink:
+        running.append(start_connector(records, sink, f"{checkpoint}/sink", f"sink-{checkpoint[-8:]}", drain))
+    return running
 
 
 def compare_models(

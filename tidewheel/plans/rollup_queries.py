@@ -19,7 +19,7 @@ from tidewheel.operators.metrics import (
 )
 from tidewheel.operators.ordering import positions
 from tidewheel.operators.profile import (
-    box_plot, correlation, dataset_profile, describe, feature_summary, histogram,
+    box_plot, correlation, dataset_profile, describe, feature_summary, histogram, key_values, target_correlation,
 )
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles
 from tidewheel.operators.rollup import (
@@ -236,6 +236,15 @@ def dataset_profile_query(spark, folder):
     return out.withColumns({c: F.col(c).cast("string") for c in ("first_time", "last_time")})
 
 
+@query(
+    "key_values",
+    f"""WITH {PANEL} SELECT 'country' AS key, country AS value, COUNT(*) AS n FROM panel GROUP BY 2
+    UNION ALL SELECT 'sector', sector, COUNT(*) FROM panel GROUP BY 2""",
+)
+def key_values_query(spark, folder):
+    return key_values(panel(spark, folder), ["country", "sector"])
+
+
 @query(
     "missing_report",
     f"""WITH {GAPPY} SELECT 'mtco2_per_day' AS column_name, COUNT(*) - COUNT(mtco2_per_day) AS missing,
@@ -275,24 +284,41 @@ def feature_summary_query(spark, folder):
 CORRELATED = ("mtco2_per_day", "lag_1", "lag_7", "rolling_7d", "rolling_30d", "month", "is_weekend")
 
 
-@query(
-    "corr_matrix",
-    f"""WITH {PANEL}, f AS (SELECT mtco2_per_day, LAG(mtco2_per_day) OVER ({SERIES}) AS lag_1, LAG(mtco2_per_day, 7) OVER ({SERIES}) AS lag_7,
+LAGGED_ROWS = f"""{PANEL}, f AS (SELECT mtco2_per_day, LAG(mtco2_per_day) OVER ({SERIES}) AS lag_1, LAG(mtco2_per_day, 7) OVER ({SERIES}) AS lag_7,
       CASE WHEN COUNT(*) OVER {frame(6)} = 7 THEN AVG(mtco2_per_day) OVER {frame(6)} END AS rolling_7d,
       CASE WHEN COUNT(*) OVER {frame(29)} = 30 THEN AVG(mtco2_per_day) OVER {frame(29)} END AS rolling_30d,
       month(emission_date) AS month, CASE WHEN isodow(emission_date) >= 6 THEN 1 ELSE 0 END AS is_weekend FROM panel),
-    k AS (SELECT * FROM f WHERE lag_7 IS NOT NULL AND rolling_30d IS NOT NULL)
-    {" UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, ROUND(CORR({a}, {b}), 6) + 0.0 AS r FROM k"
-                        for a in CORRELATED for b in CORRELATED)}""",
-)
-def corr_matrix(spark, folder):
+    k AS (SELECT * FROM f WHERE lag_7 IS NOT NULL AND rolling_30d IS NOT NULL)"""
+
+
+def correlated_rows(spark: SparkSession, folder: str) -> DataFrame:
     v = "mtco2_per_day"
     columns = {"lag_1": lag(v, 1), "lag_7": lag(v, 7)}
     columns |= {f"rolling_{n}d": rolling_mean(v, n, strict=True) for n in (7, 30)}
-    df = over_series(panel(spark, folder), DAILY, columns).withColumns(
+    return over_series(panel(spark, folder), DAILY, columns).withColumns(
         {"month": F.month("emission_date"), "is_weekend": (F.weekday("emission_date") >= 5).cast("int")}
     )
-    return correlation(df, CORRELATED).select("feature_a", "feature_b", (F.round("r", 6) + 0.0).alias("r"))
+
+
+@query(
+    "corr_matrix",
+    f"""WITH {LAGGED_ROWS}
+    {" UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, ROUND(CORR({a}, {b}), 6) + 0.0 AS r FROM k"
+                        for a in CORRELATED for b in CORRELATED)}""",
+)
+def corr_matrix(spark, folder):
+    return correlation(correlated_rows(spark, folder), CORRELATED).select("feature_a", "feature_b", (F.round("r", 6) + 0.0).alias("r"))
+
+
+@query(
+    "target_correlation",
+    f"""WITH {LAGGED_ROWS}, r AS ({" UNION ALL ".join(
+        f"SELECT '{a}' AS feature, CORR({a}, mtco2_per_day) AS r FROM k" for a in CORRELATED[1:])})
+    SELECT feature, ROUND(r, 6) + 0.0 AS r, ROUND(ABS(r), 6) AS strength, CAST(ROW_NUMBER() OVER (ORDER BY ABS(r) DESC, feature) AS INTEGER) AS place FROM r""",
+)
+def target_correlation_query(spark, folder):
+    ranked = target_correlation(correlated_rows(spark, folder), "mtco2_per_day", CORRELATED[1:])
+    return ranked.select("feature", (F.round("r", 6) + 0.0).alias("r"), F.round("strength", 6).alias("strength"), "place")
 
 
 @query(

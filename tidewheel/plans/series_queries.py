@@ -209,21 +209,31 @@ def _cumulative() -> list[Column]:
 EVENT_SERIES = "PARTITION BY event_type ORDER BY event_id"
 
 
-@query(
-    "event_features_split",
-    f"""SELECT event_id, event_type, {", ".join(
+EVENT_FEATURES = f"""SELECT event_id, event_type, {", ".join(
         f"LAG(value, {n}) OVER ({EVENT_SERIES}) AS lag_{n}d" for n in (1, 7, 30))},
     ROUND(AVG(value) OVER ({EVENT_SERIES} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS rolling_avg_7d,
     ROUND(AVG(value) OVER ({EVENT_SERIES} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING), 6) AS rolling_avg_30d
-    FROM events""",
-)
-def event_features_split(spark, folder):
-    """Row-level series of any length: cut into overlapping pieces instead of one task per event type."""
+    FROM events"""
+
+
+def _event_features(spark: SparkSession, folder: str, **options: int) -> DataFrame:
     events = table(spark, folder, "events").select("event_type", "event_id", "value")
-    out = trailing_features(events, EVENTS)
+    out = trailing_features(events, EVENTS, **options)
     return out.select("event_id", "event_type", "lag_1d", "lag_7d", "lag_30d", *r6("rolling_avg_7d", "rolling_avg_30d"))
 
 
+@query("event_features_split", EVENT_FEATURES)
+def event_features_split(spark, folder):
+    """Row-level series of any length: cut into overlapping pieces instead of one task per event type."""
+    return _event_features(spark, folder)
+
+
+@query("event_features_pieces", EVENT_FEATURES)
+def event_features_pieces(spark, folder):
+    """The same with pieces so short that every series spans several at any size of table."""
+    return _event_features(spark, folder, piece_rows=100)
+
+
 @query(
     "event_cumulative_avg",
     f"""WITH c AS (SELECT event_id, event_type, ROUND(SUM(value) OVER ({EVENT_SERIES} ROWS UNBOUNDED PRECEDING), 2) AS cumulative_sum,

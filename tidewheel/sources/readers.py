@@ -20,6 +20,14 @@ INVENTORY_SCHEMA = T.StructType(
     ]
 )
 
+# Columns of the daily panel file.
+PANEL_SCHEMA = T.StructType(
+    [
+        T.StructField("date", T.StringType()), T.StructField("country", T.StringType()),
+        T.StructField("sector", T.StringType()), T.StructField("MtCO2 per day", T.DoubleType()),
+    ]
+)
+
 # Fields that model metric records may have; each record fills some of them.
 METRIC_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("model_type", "task", "country", "sector")]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewheel.operators.rollup import latest
@@ -42,6 +43,13 @@ def _writer(
     return writer.trigger(**trigger).queryName(name)
 
 
+def start_connector(
+    stream: DataFrame, sink: Mapping[str, str], checkpoint: str, name: str = "connector", drain: bool = False
+) -> StreamingQuery:
+    """Append every record to another installed sink, given by its ``format`` and options."""
+    return _writer(stream, connector_writer(**sink), checkpoint, name, "append", drain).start()
+
+
 def start_raw(stream: DataFrame, path: str, checkpoint: str, name: str = "raw", drain: bool = False) -> StreamingQuery:
     """Store every record once.  ``drain`` stops when the present input is used up."""
     return _writer(stream, batch_writer(path), checkpoint, name, "append", drain).start()
@@ -68,6 +76,25 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     return latest(spark.read.parquet(path), keys, ["batch_id", "last_updated"]).drop("batch_id")
 
 
+def read_complete(spark: SparkSession, path: str) -> DataFrame:
+    """The last result of a ``complete`` query: its newest batch alone."""
+    stored = spark.read.parquet(path)
+    return stored.where(F.col("batch_id") == stored.agg(F.max("batch_id")).scalar()).drop("batch_id")
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], out: str) -> int:
+    """Write the newest version of each key to ``out`` as one batch, numbered as the newest one it holds.
+
+    Later batches may be written next to it, and :func:`read_latest` reads both alike; the old folder is left as it is.
+    Returns the number of the batch up to which ``out`` is complete.
+    """
+    stored = spark.read.parquet(path)
+    newest = stored.agg(F.max("batch_id")).first()[0]
+    kept = latest(stored.where(F.col("batch_id") <= newest), keys, ["batch_id", "last_updated"]).drop("batch_id")
+    kept.write.mode("overwrite").parquet(f"{out}/batch_id={newest}")
+    return newest
+
+
 def run_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
     """Wait until any query ends, then stop the others; raises the failure of a failed one."""
     try:
