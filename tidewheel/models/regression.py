@@ -24,6 +24,8 @@ BOOSTING = {
     "maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42,
 }
 
+ROWS_PER_PARTITION = 20_000
+
 
 def forest_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: str, **settings: object) -> Pipeline:
     """Index categories, assemble, standardise and fit a random forest as one pipeline, so that folds never leak."""
@@ -42,11 +44,12 @@ def forest_pipeline(numeric: Sequence[str], categorical: Sequence[str], label: s
 def kept(rows: DataFrame) -> DataFrame:
     """Rows computed once for the many passes of a fit.
 
-    A checkpoint has as many partitions as its size calls for, whereas a cached frame keeps the session's full shuffle
-    width and pays one task per partition in each of a tree's passes.
+    A cached frame keeps the session's full shuffle width and pays one task per partition in each of a tree's passes; the
+    checkpointed rows are read in as many partitions as their number calls for.
     """
     shared_dir(rows.sparkSession)
-    return rows.checkpoint()
+    stored = rows.checkpoint()
+    return stored.coalesce(max(1, -(-stored.count() // ROWS_PER_PARTITION)))
 
 
 def fit_kept(estimator: Estimator, train: DataFrame) -> Model:
