@@ -142,25 +142,25 @@ def test_prepare_and_balanced_classifier(spark):
 
 def test_prepare_keeps_a_target_called_label(spark):
     rows = [("a" if i % 3 else "b", float(i), "x") for i in range(30)]
-    out, features = prepare(spark.createDataFrame(rows, "label string, a double, c string"))
+    out, features = classify.prepare(spark.createDataFrame(rows, "label string, a double, c string"))
     assert features == ["a", "c"] and {r.label for r in out.collect()} == {0, 1}
 
 
 def test_prepare_keeps_integer_classes(spark):
     df = spark.createDataFrame([(i % 12, float(i)) for i in range(120)], "target int, a double")
-    out, features = prepare(df, "target")
+    out, features = classify.prepare(df, "target")
     assert features == ["a"] and all(r.label == int(r.a) % 12 for r in out.collect())
-    typed, _ = prepare(df.withColumn("target", F.col("target").cast("double") / 2), "target")
+    typed, _ = classify.prepare(df.withColumn("target", F.col("target").cast("double") / 2), "target")
     assert all(r.label == int(r.a) % 12 for r in typed.collect())
 
 
 def test_prepare_codes_missing_categories(spark):
     rows = [(i, [None, "u", "z"][i % 3], i % 2) for i in range(120)]
-    out, _ = prepare(spark.createDataFrame(rows, "a int, c string, label int"))
+    out, _ = classify.prepare(spark.createDataFrame(rows, "a int, c string, label int"))
     assert out.count() == 120
     assert {(r.a % 3, r.c) for r in out.collect()} == {(0, 0), (1, 1), (2, 2)}
 
 
 def test_prepare_without_text_columns(spark):
-    out, features = prepare(spark.createDataFrame([(i, i % 2) for i in range(9)], "a int, label int"))
+    out, features = classify.prepare(spark.createDataFrame([(i, i % 2) for i in range(9)], "a int, label int"))
     assert features == ["a"] and out.count() == 9

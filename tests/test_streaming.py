@@ -150,7 +150,7 @@ def test_compaction_and_newest_batch(spark, tmp_path):
     for n, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("a", 3), ("c", 1)]]):
         df = spark.createDataFrame([(k, v, n) for k, v in rows], "k string, v int, last_updated int")
         df.write.parquet(f"{tmp_path}/out/batch_id={n}")
-    newest = {(r.k, r.v) for r in read_latest(spark, f"{tmp_path}/out", ["k"]).collect()}
-    assert compact(spark, f"{tmp_path}/out", ["k"], f"{tmp_path}/small") == 2
-    assert {(r.k, r.v) for r in read_latest(spark, f"{tmp_path}/small", ["k"]).collect()} == newest == {("a", 3), ("b", 1), ("c", 1)}
-    assert {(r.k, r.v) for r in read_complete(spark, f"{tmp_path}/out").collect()} == {("a", 3), ("c", 1)}
+    newest = {(r.k, r.v) for r in sinks.read_latest(spark, f"{tmp_path}/out", ["k"]).collect()}
+    assert sinks.compact(spark, f"{tmp_path}/out", ["k"], f"{tmp_path}/small") == 2
+    assert {(r.k, r.v) for r in sinks.read_latest(spark, f"{tmp_path}/small", ["k"]).collect()} == newest == {("a", 3), ("b", 1), ("c", 1)}
+    assert {(r.k, r.v) for r in sinks.read_complete(spark, f"{tmp_path}/out").collect()} == {("a", 3), ("c", 1)}
