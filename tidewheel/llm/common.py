@@ -44,3 +44,19 @@ def by_hash(df: DataFrame, n: int, *keys: str) -> DataFrame:
     place = F.pmod(F.xxhash64(*keys), F.lit(span))
     share = min(1.0, (2 * n + 100) / max(1, total))
     return df.withColumn("_place", place).where(F.col("_place") <= int(span * share)).orderBy("_place", *keys).limit(n).drop("_place")
+
+
+_caches: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A table that a worker process keeps between tasks."""
+    _caches.append(cache := {})
+    return cache
+
+
+def claim(own: dict | None = None) -> None:
+    """Empty what other operators keep in this worker process: a pipeline's stages follow each other in one worker."""
+    for cache in _caches:
+        if cache is not own:
+            cache.clear()

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import bounded_batches, saved
+from tidewheel.llm.common import bounded_batches, claim, saved
 
 LETTERS = regex.compile(r"\p{L}+")
 #: N-grams in a profile, and n-grams of a document that are compared.
@@ -126,6 +126,7 @@ def _rated(docs: DataFrame, kept: list[str], names: tuple[str, ...], profiles: D
     at = given.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         for batch in batches:
             found = [known.nearest(t.as_py()) for t in batch.column(at)]
             columns = [pa.array(c, t) for c, t in zip(zip(*found) if found else ((), (), ()), (pa.string(), pa.float64(), pa.float64()))]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import bounded_batches, saved
+from tidewheel.llm.common import bounded_batches, claim, saved, worker_cache
 from tidewheel.llm.elias_fano import EliasFano, load, pack, save
 from tidewheel.session import run_dir
 
@@ -211,11 +211,12 @@ class Reader:
         return self._end
 
 
-_readers: dict[str, Reader] = {}
+_readers: dict[str, Reader] = worker_cache()
 
 
 def _reader(trie: Trie) -> Reader:
     key = trie.levels[-1].paths[0] if trie.levels and trie.levels[-1].paths else ""
+    claim(_readers)
     if key not in _readers:
         _readers.clear()
         _readers[key] = Reader(trie)

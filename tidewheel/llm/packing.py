@@ -22,13 +22,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import bounded_batches, saved
+from tidewheel.llm.common import bounded_batches, claim, saved, worker_cache
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 #: Words kept with their ids by a worker, and the longest such word in bytes.
-KEPT_WORDS, KEPT_BYTES = 250_000, 48
-_encoders: dict[str, WordEncoder] = {}
+KEPT_WORDS, KEPT_BYTES = 120_000, 48
+_encoders: dict[str, WordEncoder] = worker_cache()
 
 
 #: Fixed values of the tokenizer files with word ends: how they cut text, and what closes the last id of a cut.
@@ -118,6 +118,7 @@ class WordEncoder:
 
 def encoder(path: str) -> WordEncoder:
     """One encoder per worker process and file."""
+    claim(_encoders)
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
@@ -150,7 +151,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
                 [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"]
             )
 
-    bounded_batches(docs.sparkSession, "8m")
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(cut, PIECES)
 
