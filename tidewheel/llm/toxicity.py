@@ -1,9 +1,10 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made.  The ordinary one is trained on windows of ordinary documents.  The toxic one holds
-the same content and, after it, the stretches of toxic documents that ordinary documents lack.  A window that shortens
-more under the toxic dictionary than under the ordinary one is nearer to toxic text; as both share their ordinary part,
-the difference owes nothing to how common the rest of the window is.  Windows are words (pieces of at most
+Zstandard dictionaries are made of both kinds of text.  The ordinary one is trained on windows of ordinary documents.
+The toxic ones hold the same content and, after it, the stretches of toxic documents that ordinary documents lack: one
+those they lack altogether, the other those that are merely much rarer there.  A window that shortens more under a toxic
+dictionary than under the ordinary one is nearer to toxic text; as all share their ordinary part, the difference owes
+nothing to how common the rest of the window is.  Windows are words (pieces of at most
 ``WINDOW`` bytes), each followed by a pad both dictionaries know, as zstandard looks for no match in the last bytes of
 an input.  How far a document's windows shorten is turned into a probability by a logistic curve fitted on labels.
 """
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import bounded_batches, by_hash, saved
+from tidewheel.llm.common import bounded_batches, by_hash, claim, saved, worker_cache
 
 #: Labelled rows a model is fitted on, of each label at most: those whose ids have the smallest hashes.
 TOXIC_ROWS, ORDINARY_ROWS = 1_500, 4_500
@@ -31,24 +32,30 @@ TRAIN_WINDOWS, TRAIN_BYTES, DICTIONARY = 12_000, 256, 8_000
 #: A stretch counts as toxic if it stands before so many different words in toxic documents, is so many times as frequent
 #: there as in ordinary ones, and its likelihood ratio reaches this; so many are kept, the most telling first.
 LEAST_CONTEXTS, LEAST_RATIO, LEAST_EVIDENCE, MOST_STRETCHES = 5, 20.0, 30.0, 256
+#: From this ratio on ordinary documents are taken to lack a stretch altogether.
+STRICT_RATIO = 100.0
 WINDOW = 64
 PAD = bytes([0, 1, 2, 3, 4, 5, 6, 7, 8, 11, 12, 14, 15, 16, 17, 18])
+#: Stands before every word, and before every stretch in the toxic dictionaries: a match from a word's start is longer by it.
+START = b"\x19\x1a"
 LEVEL = 1
 THRESHOLD = 0.3
 #: Bytes of shortening at which words are counted.
-STEPS = (2, 3, 4, 6)
-_FEATURES = "toxic int, " + ", ".join(f"f{n} double" for n in range(1 + len(STEPS)))
+STEPS = (3, 4, 5, 6)
+_N = 2 * (1 + len(STEPS))
+_FEATURES = "toxic int, " + ", ".join(f"f{n} double" for n in range(_N))
 ADDED = ("score", "predicted", "shortening")
 #: Distinct words whose distance a worker keeps.
-KEPT = 200_000
+KEPT = 100_000
 
 
 @dataclass
 class Model:
-    """Content of both dictionaries, and the weights of the logistic curve."""
+    """Content of the dictionaries, and the weights of the logistic curve."""
 
     ordinary: bytes
-    toxic: bytes
+    strict: bytes
+    loose: bytes
     weights: tuple[float, ...]
 
 
@@ -56,7 +63,7 @@ class Distance:
     """Bytes by which windows shorten more under the toxic dictionary."""
 
     def __init__(self, model: Model) -> None:
-        self.pair = [self._compressor(c) for c in (model.ordinary, model.toxic)]
+        self.compress = [self._compressor(c).compress for c in (model.ordinary, model.strict, model.loose)]
         self.known: dict[str, int] = {}
         self.older: dict[str, int] = {}
         self.weights = np.array(model.weights)
@@ -72,20 +79,18 @@ class Distance:
         return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=settings)
 
     def of(self, word: str) -> int:
-        """The most that any window of a word shortens."""
+        """The most that any window of a word shortens under the strict dictionary, and 256 times that under the loose one."""
         data = word.encode()
-        ordinary, toxic = (c.compress for c in self.pair)
-        if len(data) <= WINDOW:
-            window = b" " + data + b" " + PAD
-            return len(ordinary(window)) - len(toxic(window))
-        best = 0
-        for at in range(0, len(data), WINDOW // 2):
-            window = b" " + data[at : at + WINDOW] + b" " + PAD
-            best = max(best, len(ordinary(window)) - len(toxic(window)))
-        return best
+        starts = range(0, len(data), WINDOW // 2) if len(data) > WINDOW else (0,)
+        best = [0, 0]
+        for at in starts:
+            window = START + b" " + data[at : at + WINDOW] + b" " + PAD
+            ordinary, *toxic = (len(compress(window)) for compress in self.compress)
+            best = [max(b, ordinary - t) for b, t in zip(best, toxic)]
+        return best[0] + 256 * best[1]
 
     def features(self, texts: pa.Array) -> np.ndarray:
-        """Per text: the largest shortening (8 at most), and how many words shorten by each of ``STEPS`` (logarithms)."""
+        """Per text and toxic dictionary: the largest shortening (8 at most), and how many words reach each of ``STEPS`` (logarithms)."""
         split = pc.ascii_split_whitespace(pc.utf8_lower(texts))
         stops = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
@@ -101,29 +106,32 @@ class Distance:
                 if len(word) <= WINDOW:
                     self.known[word] = gain
             gains[i] = gain
-        own = gains[coded.indices.to_numpy()]
-        largest = np.zeros(len(texts), np.int64)
+        both = gains[coded.indices.to_numpy()]
         text = np.repeat(np.arange(len(texts)), np.diff(stops))
-        np.maximum.at(largest, text, np.minimum(own, 8))
-        counts = [np.log1p(np.bincount(text[own >= least], minlength=len(texts))) for least in STEPS]
-        return np.column_stack([largest, *counts])
+        out = []
+        for own in (both & 255, both >> 8):
+            largest = np.zeros(len(texts), np.int64)
+            np.maximum.at(largest, text, np.minimum(own, 8))
+            out += [largest, *(np.log1p(np.bincount(text[own >= least], minlength=len(texts))) for least in STEPS)]
+        return np.column_stack(out)
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + features @ self.weights[1:], -30, 30)))
 
 
-_distances: dict[bytes, Distance] = {}
+_distances: dict[bytes, Distance] = worker_cache()
 
 
 def _distance(packed: bytes) -> Distance:
+    claim(_distances)
     if packed not in _distances:
         _distances.clear()
         _distances[packed] = Distance(pickle.loads(packed))
     return _distances[packed]
 
 
-def _stretches(sample: DataFrame) -> list[bytes]:
-    """Word beginnings and whole words that mark toxic text.
+def _stretches(sample: DataFrame) -> tuple[list[bytes], list[bytes]]:
+    """Word beginnings and whole words that mark toxic text: those ordinary text lacks, and those it merely has less of.
 
     Evidence is counted in different following words, so that copies of one document count once.
     """
@@ -143,7 +151,7 @@ def _stretches(sample: DataFrame) -> list[bytes]:
     total = by_word.agg(F.sum("with"), F.sum("without")).first()
     n1, n0 = (total[0] or 0), (total[1] or 0)
     if not n1 or not n0:
-        return []
+        return [], []
     counts = by_word.select(F.explode(F.concat(pieces, whole)).alias("piece"), "with", "without").groupBy("piece").agg(
         F.sum("with").alias("a"), F.sum("without").alias("b")
     )
@@ -153,13 +161,13 @@ def _stretches(sample: DataFrame) -> list[bytes]:
         F.col("a") * F.log(F.col("a") / (n1 * expected))
         + F.when(F.col("b") > 0, F.col("b") * F.log(F.greatest(F.col("b"), F.lit(1)) / (n0 * expected))).otherwise(0.0)
     )
-    telling = counts.where((F.col("a") >= LEAST_CONTEXTS) & (ratio >= LEAST_RATIO)).withColumn("evidence", evidence)
+    telling = counts.withColumn("ratio", ratio).where((F.col("a") >= LEAST_CONTEXTS) & (F.col("ratio") >= LEAST_RATIO)).withColumn("evidence", evidence)
     top = telling.where(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.desc("evidence"), F.desc(F.length("piece")), "piece").limit(16 * MOST_STRETCHES)
-    kept: list[str] = []
-    for (piece,) in top.select("piece").collect():
+    kept: dict[str, float] = {}
+    for piece, how_much in top.select("piece", "ratio").collect():
         if len(kept) < MOST_STRETCHES and not any(piece.startswith(k) or k.startswith(piece) for k in kept):
-            kept.append(piece)
-    return [k.encode() for k in kept]
+            kept[piece] = how_much
+    return tuple([START + k.encode() for k, r in kept.items() if (r >= STRICT_RATIO) is strict] for strict in (True, False))
 
 
 def _ordinary(sample: DataFrame) -> bytes:
@@ -214,16 +222,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = saved(sample.withColumn("toxic", (F.col("toxic") > 0).cast("int")), "sample")
     totals = dict(ids.groupBy((F.col("toxic") > 0).cast("int")).count().collect())
     base = _ordinary(sample)
-    model = Model(base, base + b"".join(reversed(_stretches(sample))), (0.0,) * (2 + len(STEPS)))
+    strict, loose = (base + b"".join(reversed(own)) for own in _stretches(sample))
+    model = Model(base, strict, loose, (0.0,) * (1 + _N))
     rows = sample.select("toxic", "text").mapInArrow(_features(pickle.dumps(model)), _FEATURES).collect()
     y = np.array([r[0] for r in rows], float)
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if not 0 < y.sum() < len(y):
         odds = math.log(max(share, 1e-6) / max(1 - share, 1e-6))
-        return Model(base, base, (odds, *(0.0,) * (1 + len(STEPS))))
+        return Model(base, base, base, (odds, *(0.0,) * _N))
     weight = np.where(y == 1, totals[1] / y.sum(), totals[0] / (1 - y).sum())
     weight *= len(y) / weight.sum()
-    return Model(model.ordinary, model.toxic, logistic(np.array([r[1:] for r in rows], float), y, weight))
+    return Model(base, strict, loose, logistic(np.array([r[1:] for r in rows], float), y, weight))
 
 
 def _features(packed: bytes):
@@ -231,7 +240,7 @@ def _features(packed: bytes):
         distance = _distance(packed)
         for batch in batches:
             columns = distance.features(batch.column(1)).T.astype(float)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], ["toxic", *(f"f{n}" for n in range(1 + len(STEPS)))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], ["toxic", *(f"f{n}" for n in range(_N))])
 
     return run
 
@@ -246,7 +255,7 @@ def _rated(docs: DataFrame, kept: list[str], names: tuple[str, ...], model: Mode
         for batch in batches:
             features = distance.features(pc.fill_null(batch.column(at), ""))
             found = distance.probability(features)
-            added = [pa.array(found), pa.array((found >= threshold).astype(np.int32)), pa.array(features[:, 0].astype(np.int32))]
+            added = [pa.array(found), pa.array((found >= threshold).astype(np.int32)), pa.array(np.maximum(features[:, 0], features[:, 1 + len(STEPS)]).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *added], [*kept, *names])
 
     bounded_batches(docs.sparkSession)
