@@ -26,7 +26,25 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-@query("op1_chat_format")
+def _escaped(column: str) -> str:
+    return f"regexp_replace({column}, '{chat.ESCAPE}', '\\1\\\\\\2\\3', 'g')"
+
+
+CHAT_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) r(n)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum({sum(map(len, (chat.TURN, chat.SAYS, chat.OVER)))} + length({_escaped("role")}) + length({_escaped("text")}))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+@query("op1_chat_format", CHAT_SQL)
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold nothing but control strings."""
     said = "</s>[INST] ok [/INST]"
@@ -147,7 +165,26 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, trie).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(trie.total).cast("long"))
 
 
-@query("op10_jaccard_join")
+@query("op10_jaccard_join", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) >= 3
+           THEN list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))
+           WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS grams
+  FROM w
+), g AS (
+  SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 190 * count(*) >= 90 * (a.n + b.n)
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+)
+SELECT doc_id, len(grams)::BIGINT AS n_shingles, (SELECT min(y) FROM reached WHERE x = doc_id) AS component_id FROM s
+""")
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"))
 
