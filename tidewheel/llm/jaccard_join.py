@@ -6,9 +6,10 @@ equal size and prefix form a group, and only groups meet: under each prefix toke
 filtered by size and by a bound on the overlap from small counting sketches; what passes is verified on whole sets.
 
 Dense neighbourhoods aren't enumerated.  Where few groups share a token, all pairs are tried; where many do, each is
-tried against a centre of its size first.  Links found so far make components, and only pairs whose components still
-differ are tried after that, in blocks of bounded size.  No pair of different components is left untried, so the result
-is exact up to collisions of 64-bit hashes.
+tried against a centre of its size first.  Links found so far make components.  Sets in long lists then meet in crowds,
+by blocks of bounded size that compare whole sets, unless one component holds them all; a block returns only links that
+join components.  No pair of different components is left untried, so the result is exact up to collisions of 64-bit
+hashes.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import bounded_batches, saved
+from tidewheel.llm.common import bounded_batches, claim, saved
 from tidewheel.llm.components import components
 from tidewheel.llm.idsets import bits_of, hits, places
 
@@ -33,8 +34,8 @@ K, PERCENT = 3, 90
 #: A token in the first part (by hash) of more sets than this goes to the end of the order; so many such tokens at most,
 #: the most frequent ones.  The order decides speed, never the result.
 FREQUENT, MOST_FREQUENT = 16, 1 << 20
-#: Groups under a token up to which all pairs are tried at once; rows of a block.
-FEW, BLOCK = 8, 256
+#: Groups under a token up to which all pairs are tried at once; sets of one side of a block.
+FEW, BLOCK = 16, 512
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -117,6 +118,7 @@ def frequent_tokens(docs: DataFrame, k: int, first_part: float) -> np.ndarray:
     """Tokens that stand in the first part, by hash, of more than ``FREQUENT`` sets; sorted, ``MOST_FREQUENT`` at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         held: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
@@ -152,6 +154,7 @@ def _described(docs: DataFrame, frequent, k: int, percent: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         last = sent.value
         for batch in batches:
             rows = []
@@ -283,15 +286,12 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "s_a", "a_doc", "n_b", "s_b", "b_doc").mapInArrow(run, "a long, b long, a_doc long, b_doc long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
-    """Pairs (``a, b``) that are as alike as asked, by their whole sets.
+def _sets(docs: DataFrame, wanted: DataFrame, k: int, name: str) -> DataFrame:
+    """``node, tokens``: whole sets of the nodes in ``wanted`` (``node, doc``), worked out again from their texts.
 
-    Sets are worked out again from the texts of the documents that ``a_doc`` and ``b_doc`` name; a bit filter keeps the
-    other texts from moving.
+    A bit filter over the ids of documents that hold them keeps the other texts from moving.
     """
-    pairs = saved(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a_doc", "b_doc")).alias("id")).distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(bits_of(ids, "id"))
+    bits = docs.sparkSession.sparkContext.broadcast(bits_of(wanted, "doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,50 +304,105 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, name: str
             )
 
     sets = docs.select("text", *places(F.col("doc_id"))).mapInArrow(run, "node long, tokens array<long>")
-    needed_nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = saved(sets.join(needed_nodes, "node", "left_semi").dropDuplicates(["node"]), f"{name}-sets")
+    return saved(sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), f"{name}-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (``a, b``) that are as alike as asked, by their whole sets; ``a_doc`` and ``b_doc`` name their documents."""
+    pairs = saved(pairs, "pairs")
+    ends = F.array(*(F.struct(F.col(x).alias("node"), F.col(f"{x}_doc").alias("doc")) for x in "ab"))
+    sets = _sets(docs, pairs.select(F.inline(ends)).distinct(), k, "pair")
     both = pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
     both = both.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     common = F.size(F.array_intersect("x", "y")).cast("long")
     alike = (100 + percent) * common >= percent * (F.size("x") + F.size("y"))
-    return saved(both.where(alike).select("a", "b"), f"{name}-links")
+    return saved(both.where(alike).select("a", "b"), "links")
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``left`` with all of ``right``, as products of incidence matrices."""
+    sets = [*left, *right]
+    distinct, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = times[column] > 1
+    number = np.cumsum(times > 1) - 1
+    row, column = row[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    width = 4096
+    for start in range(0, int((times > 1).sum()), width):
+        a, b = np.searchsorted(column, [start, start + width])
+        part = np.zeros((len(sets), width), np.float32)
+        part[row[a:b], column[a:b] - start] = 1
+        out += part[: len(left)] @ part[len(left) :].T
+    return out
 
 
-def _remaining(lists: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components within the same list (``key, node, component``) that sketches allow.
+def _block_links(percent: int):
+    """Links between the two sides of a block that join components which nothing in the block has joined yet."""
 
-    Members outside a list's largest component are tried against all its members.  Both sides come in blocks, so a group
-    of rows has two blocks at most.
-    """
-    sizes = lists.groupBy("key", "component").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("key").agg(
-        F.max_by("component", F.struct("m", "component")).alias("main"), F.sum("m").alias("all"), F.max("m").alias("most"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    left_blocks = F.ceil(F.col("all") / BLOCK).cast("int")
-    right_blocks = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
-    rows = lists.join(largest, "key").join(classes.select("node", "n", "sketch"), "node")
-    rows = rows.withColumn("lb", left_blocks).withColumn("rb", right_blocks)
-    own = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
-    upto = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-    base = ["key", "node", "n", "sketch", "component"]
-    left = rows.select(*base, own("lb").alias("i"), upto("rb").alias("j"), F.lit(True).alias("left"))
-    right = rows.where(F.col("component") != F.col("main")).select(*base, upto("lb").alias("i"), own("rb").alias("j"), F.lit(False).alias("left"))
-
-    def pairs(block: pd.DataFrame) -> pd.DataFrame:
+    def links(block: pd.DataFrame) -> pd.DataFrame:
         xs, ys = block[block["left"]], block[~block["left"]]
-        n_x, c_x, v_x = xs["n"].to_numpy(), xs["component"].to_numpy(), xs["node"].to_numpy()
-        counts = [_counts(n, s) for n, s in zip(n_x, xs["sketch"])]
-        out_a, out_b = [], []
-        for n, component, node, data in zip(ys["n"], ys["component"], ys["node"], ys["sketch"]):
-            own = _counts(n, data)
-            fit = (c_x != component) & _enough(np.minimum(n_x, n), n_x, n, percent)
-            for i in np.flatnonzero(fit).tolist():
-                if _enough(overlap_bound(n_x[i], counts[i], n, own), n_x[i], n, percent):
-                    out_a.append(min(v_x[i], node))
-                    out_b.append(max(v_x[i], node))
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
-
-    return left.unionByName(right).groupBy("key", "i", "j").applyInPandas(pairs, "a long, b long").distinct()
+        found: list[tuple[int, int]] = []
+        c_x, c_y = xs["component"].to_numpy(), ys["component"].to_numpy()
+        if len(xs) and len(ys) and (c_x.min() != c_y.max() or c_x.max() != c_y.min()):
+            n_x, n_y = xs["tokens"].map(len).to_numpy(), ys["tokens"].map(len).to_numpy()
+            alike = _enough(overlaps(list(xs["tokens"]), list(ys["tokens"])), n_x[:, None], n_y[None, :], percent)
+            v_x, v_y = xs["node"].to_numpy(), ys["node"].to_numpy()
+            parent: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while (above := parent.get(c, c)) != c:
+                    parent[c] = c = parent.get(above, above)
+                return c
+
+            for i, j in zip(*(z.tolist() for z in np.nonzero(alike & (c_x[:, None] != c_y[None, :])))):
+                a, b = root(int(c_x[i])), root(int(c_y[j]))
+                if a != b:
+                    parent[a] = b
+                    found.append((int(v_x[i]), int(v_y[j])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return links
+
+
+def _crowds(placed: DataFrame, met: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between components that the first round left apart, where sets lie too dense to try all pairs there.
+
+    Every group belongs to one crowd: the longest list of groups under a token that it is in, or else itself.  Two crowds
+    meet if members of theirs share a token, and a crowd meets itself.  Whole sets are compared in blocks, once for each
+    two crowds that meet, unless all their members are in one component already; of the links found a block returns
+    those that join something.
+    """
+    long_lists = met.where("b IS NULL").select("token", F.col("a").alias("group"))
+    sizes = long_lists.groupBy("token").agg(F.count("*").alias("m"))
+    chosen = long_lists.join(sizes, "token").groupBy("group").agg(F.max_by("token", F.struct("m", "token")).alias("list"))
+    crowd = F.coalesce(F.concat(F.lit("t"), F.col("list").cast("string")), F.concat(F.lit("g"), F.col("group").cast("string")))
+    rows = saved(placed.join(chosen, "group", "left").withColumn("crowd", crowd).drop("list"), "crowds")
+    of_group = rows.select("group", "crowd", "members").distinct()
+    stats = rows.groupBy("crowd").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    alone = stats.where("low < high").select(F.col("crowd").alias("p"), F.col("crowd").alias("q"))
+    in_list = long_lists.join(of_group.select("group", "crowd"), "group").select("token", "crowd").distinct()
+    under = in_list.select("token", F.col("crowd").alias("p")).join(in_list.select("token", F.col("crowd").alias("q")), "token").where("p < q")
+    # groups of several sets that met under a short list: only their first sets have been compared
+    side = lambda x, y: of_group.select(F.col("group").alias(x), F.col("crowd").alias(f"c_{y}"), F.col("members").alias(f"m_{y}"))
+    short = met.where("NOT long").select("a", "b").join(side("a", "a"), "a").join(side("b", "b"), "b")
+    short = short.where("(m_a > 1 OR m_b > 1) AND c_a <> c_b").select(F.least("c_a", "c_b").alias("p"), F.greatest("c_a", "c_b").alias("q"))
+    pairs = alone.unionByName(under.select("p", "q")).unionByName(short).distinct()
+    of = lambda x: stats.select(F.col("crowd").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "low", "high")])
+    pairs = pairs.join(of("p"), "p").join(of("q"), "q").where("NOT (p_low = p_high AND q_low = q_high AND p_low = q_low)")
+    blocks = lambda x: F.ceil(F.col(f"{x}_n") / BLOCK).cast("int").alias(f"b_{x}")
+    pairs = saved(pairs.select("p", "q", blocks("p"), blocks("q")), "crowd-pairs")
+    busy = pairs.select(F.explode(F.array("p", "q")).alias("crowd")).distinct()
+    sets = _sets(docs, rows.join(busy, "crowd", "left_semi").select("node", F.col("rep").alias("doc")).distinct(), k, "crowd")
+    own = lambda x: F.pmod(F.xxhash64("node"), F.col(f"b_{x}")).cast("int")
+    every = lambda x: F.explode(F.sequence(F.lit(0), F.col(f"b_{x}") - 1))
+    member = lambda x: pairs.join(rows.select(F.col("crowd").alias(x), "node", "component"), x)
+    left = member("p").select("p", "q", "node", "component", own("p").alias("i"), every("q").alias("j"), F.lit(True).alias("left"))
+    right = member("q").select("p", "q", "node", "component", every("p").alias("i"), own("q").alias("j"), F.lit(False).alias("left"))
+    dealt = left.unionByName(right).where("p <> q OR i <= j").join(sets, "node")
+    return dealt.groupBy("p", "q", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
 
 
 def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
@@ -375,26 +430,11 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     group_pairs = met.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "long")
     within = members.where("node <> group").select(F.least("node", "group").alias("a"), F.greatest("node", "group").alias("b"))
     tried = group_pairs.select("a", "b").unionByName(within).distinct()
-    links = _verified(_bounded(tried, classes, percent), docs, k, percent, "first")
+    links = _verified(_bounded(tried, classes, percent), docs, k, percent)
     found = components(links, "first-components")
     placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = saved(placed.select("node", "group", "members", "component"), "placed")
-    # lists in which components may still differ: groups, pairs of groups that met, and the groups under a long list's token
-    several = placed.where("members > 1")
-    by_group = several.select(F.concat(F.lit("g"), F.col("group").cast("string")).alias("key"), "node", "component")
-    crowds = several.select("group").distinct()
-    short = group_pairs.where("NOT long").select("a", "b").distinct()
-    crowded = short.join(crowds.select(F.col("group").alias("a"), F.lit(True).alias("many_a")), "a", "left")
-    crowded = crowded.join(crowds.select(F.col("group").alias("b"), F.lit(True).alias("many_b")), "b", "left").where("many_a OR many_b")
-    by_pair = crowded.select(F.concat_ws(",", F.lit("p"), "a", "b").alias("key"), F.explode(F.array("a", "b")).alias("group"))
-    by_token = met.where("b IS NULL").select(F.concat(F.lit("t"), F.col("token").cast("string")).alias("key"), F.col("a").alias("group"))
-    mixed = by_pair.unionByName(by_token).join(placed.select("group", "node", "component"), "group").select("key", "node", "component")
-    lists = saved(by_group.unionByName(mixed), "lists")
-    rest = _remaining(lists, classes, percent).join(tried, ["a", "b"], "left_anti")
-    docs_of = classes.select("node", "rep")
-    rest = rest.join(docs_of.select(F.col("node").alias("a"), F.col("rep").alias("a_doc")), "a")
-    rest = rest.join(docs_of.select(F.col("node").alias("b"), F.col("rep").alias("b_doc")), "b").select("a", "b", "a_doc", "b_doc")
-    more = _verified(rest, docs, k, percent, "second")
+    placed = saved(placed.join(classes.select("node", "rep"), "node"), "placed")
+    more = saved(_crowds(placed, met, docs, k, percent), "crowd-links")
     every = placed.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
     final = components(every.unionByName(more), "last-components")
     labelled = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
