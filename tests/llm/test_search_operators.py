@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,6 +203,22 @@ def test_join_empty(spark):
     assert jaccard_join.link(odd_docs(spark).where("text is null")).collect()[0].component_id == 1
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_shingles_of_a_few_words(n):
+    words = ["a", "b", "c", "d", "e", "f"][:n]
+    own = jaccard_join.shingle_sets(pa.array([" ".join(words)]), 5)
+    assert [len(s) for s in own] == [max(min(n, 1), n - 4)]
+    # the same as beside a long text
+    assert own[0].tolist() == jaccard_join.shingle_sets(pa.array([" ".join(words), "x " * 20]), 5)[0].tolist()
+
+
+def test_groups_of_one_short_document(spark):
+    for n in range(1, 6):
+        rows = [(n, " ".join("abcde"[:n]))]
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        assert Counter(tuple(r) for r in jaccard_join.link(df, 5, 80).collect()) == brute_groups(rows, 5, 80)
+
+
 def test_overlap_bound_is_safe():
     rng = np.random.default_rng(4)
     for _ in range(60):

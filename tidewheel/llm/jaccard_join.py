@@ -62,7 +62,7 @@ def shingle_sets(texts: pa.Array, k: int = K) -> list[np.ndarray]:
     ends = np.cumsum(sizes)
     prime = np.uint64(_MIX[0])
     grams = np.zeros(len(words), np.uint64)
-    for j in range(k):
+    for j in range(min(k, len(words))):
         grams[: len(words) - j] = grams[: len(words) - j] * prime + words[j:]
     grams = _mixed(grams)
     out = []
