@@ -113,6 +113,27 @@ def test_model_is_a_distribution(spark):
     assert end < 0 and first < 0 and all(s < end + 1 for s in score.values())
 
 
+def test_large_context_is_a_distribution(spark):
+    # one word stands before 10.4 million others, nearly all of them once
+    rows, each = 400, 26_000
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda i: F.concat(F.lit("a w"), (F.col("id") * each + i).cast("string"))))
+    docs = spark.range(rows).select(F.col("id").alias("doc_id"), F.concat(text, F.lit(" a w0 a w0 a w1")).alias("text"))
+    trie = lm.train(docs)
+    reader, level = lm.Reader(trie), trie.levels[1]
+    a = reader.find(0, lm.tokens(pa.array(["a"]))[0][:1], "count")[0][0]
+    mass, found = 0.0, 0
+    for path, bound in zip(level.paths, level.bounds):
+        arrays, sequence, _ = reader.shard(path)
+        shares = arrays["share"][(sequence.get(np.arange(len(arrays["share"]))) + bound) // trie.words == a]
+        mass, found = mass + lm.probabilities(shares, level.decades).sum(), found + len(shares)
+    left = reader.weights(1, np.array([a]))[0]
+    assert found == rows * each and 0.99 < mass + left <= 1 + 1e-9
+    # one word that follows once: what the counts give, not a floor
+    count = rows * (each + 3)
+    one = lm.probabilities(np.array([lm.quantised(np.array([(1 - level.discount) / count]), level.decades)[0]]), level.decades)[0]
+    assert one == pytest.approx((1 - level.discount) / count, rel=1e-3)
+
+
 def test_model_edges(spark):
     docs = odd_docs(spark)
     for learned in (docs, docs.limit(0), docs.where("text is null")):

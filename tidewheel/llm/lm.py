@@ -9,12 +9,15 @@ Ranges are cut by how often contexts occur, within a context too, so no shard ge
 worth of keys, whatever word is frequent.
 
 Probabilities are interpolated by absolute discounting: a level stores ``(count - d) / count of the context`` of each
-n-gram and ``d * distinct successors / count of the context`` of each context, as eight bits each.  Level 1 gives words
-never seen the share that words seen once have (one outcome, as the add-one base has it); counts there are exact.
+n-gram and ``d * distinct successors / count of the context`` of each context, as sixteen bits each, rounded down on a
+scale that reaches the smallest probability the level can hold; so what follows a context never adds up to more than 1.
+Level 1 gives words never seen the share that words seen once have (one outcome, as the add-one base has it); counts there
+are exact.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,19 +37,26 @@ from tidewheel.session import run_dir
 END = (1 << 62) - 1
 #: Tokens whose keys make one shard, and keys a task collects before it passes them on.
 SHARD_TOKENS, HELD_KEYS = 4_000_000, 2_500_000
-#: Steps of a stored probability: eight bits on a logarithmic scale down to 10 ** -FLOOR.
-FLOOR = 7.0
+#: Steps of a stored probability: sixteen bits on a logarithmic scale down to 10 ** -FLOOR, or further where counts ask for it.
+FLOOR, STEPS = 7.0, (1 << 16) - 1
 SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def quantised(p: np.ndarray) -> np.ndarray:
-    """0 for nothing, else 1 to 255 by logarithm; rounding is to the nearest step."""
+def scale(tokens_total: int, discount: float) -> float:
+    """Decades that reach down to the smallest probability of a level: no context counts more than all tokens."""
+    return max(FLOOR, math.log10(max(1, tokens_total) / min(discount, 1 - discount)))
+
+
+def quantised(p: np.ndarray, decades: float) -> np.ndarray:
+    """0 for nothing, else 1 to ``STEPS`` by logarithm, rounded down."""
     with np.errstate(divide="ignore"):
-        step = np.rint(255 + np.log10(np.maximum(p, 1e-300)) * (254 / FLOOR))
-    return np.where(p > 0, np.clip(step, 1, 255), 0).astype(np.uint8)
+        step = np.floor(STEPS + np.log10(np.maximum(p, 1e-300)) * ((STEPS - 1) / decades) + 1e-9)
+    return np.where(p > 0, np.clip(step, 1, STEPS), 0).astype(np.uint16)
 
 
-VALUES = np.append(0.0, 10.0 ** ((np.arange(1, 256) - 255) * (FLOOR / 254)))
+def probabilities(steps: np.ndarray, decades: float) -> np.ndarray:
+    """What :func:`quantised` has stored."""
+    return np.where(steps > 0, 10.0 ** ((steps.astype(float) - STEPS) * (decades / (STEPS - 1))), 0.0)
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,6 +127,7 @@ class Level:
     bounds: np.ndarray  # the smallest key a shard may hold
     offsets: np.ndarray  # the number of its first key
     discount: float = 0.0
+    decades: float = FLOOR  # that the stored probabilities reach down
     edges: dict[int, float] = field(default_factory=dict)  # weight left to shorter contexts, of contexts cut by a bound
 
 
@@ -171,7 +182,7 @@ class Reader:
             arrays, _, sequence = self.shard(level.paths[i])
             at, there = sequence.find(contexts[own] - level.bounds[i] // self.trie.words)
             found = np.ones(len(at))
-            found[there] = VALUES[arrays["left"][at[there]]]
+            found[there] = probabilities(arrays["left"][at[there]], level.decades)
             out[own] = found
         if level.edges:
             cut = np.array(sorted(level.edges), np.int64)
@@ -301,7 +312,7 @@ def train(docs: DataFrame, order: int = 2, shard_tokens: int = SHARD_TOKENS) ->
         discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
         cut = sorted({int(b // trie.words) for b in bounds[1:]})  # contexts that a bound may divide
         edges = _edge_sums(merged, cut, trie.words) if cut else {}
-        level, rows = _level(merged, bounds, folder, number, trie.words, edges, discount)
+        level, rows = _level(merged, bounds, folder, number, trie.words, edges, discount, scale(trie.total, discount))
         trie.levels.append(level)
     return trie
 
@@ -348,7 +359,8 @@ def _edge_sums(merged: DataFrame, cut: list[int], words: int) -> dict[int, tuple
 
 
 def _level(
-    merged: DataFrame, bounds: np.ndarray, folder: str, number: int, words: int, edges: dict[int, tuple[int, int]], discount: float
+    merged: DataFrame, bounds: np.ndarray, folder: str, number: int, words: int, edges: dict[int, tuple[int, int]], discount: float,
+    decades: float = FLOOR,
 ) -> tuple[Level, list[dict]]:
     """Write the shards of a level, each by one task; an absent shard is written empty."""
 
@@ -368,8 +380,8 @@ def _level(
                 at = np.flatnonzero(distinct == c)
                 n[at], total[at] = all_n, all_tokens
             arrays |= {f"context_{k}": v for k, v in pack(distinct - base // words).items()}
-            arrays["share"] = quantised((counts - discount) / np.repeat(total, np.diff(np.append(first, len(keys)))))
-            arrays["left"] = quantised(discount * n / total)
+            arrays["share"] = quantised((counts - discount) / np.repeat(total, np.diff(np.append(first, len(keys)))), decades)
+            arrays["left"] = quantised(discount * n / total, decades)
             arrays["count"] = counts.astype(kind)
         save(f"{folder}/level{number}-{shard}", arrays)
 
@@ -388,7 +400,7 @@ def _level(
         write(shard, none, none)
     sizes = [rows[i]["n"] if i in rows else 0 for i in range(len(bounds))]
     left = {c: float(discount * n / t) for c, (n, t) in edges.items()}
-    level = Level([f"{folder}/level{number}-{i}" for i in range(len(bounds))], bounds, np.cumsum([0, *sizes[:-1]]), discount, left)
+    level = Level([f"{folder}/level{number}-{i}" for i in range(len(bounds))], bounds, np.cumsum([0, *sizes[:-1]]), discount, decades, left)
     return level, [rows[i] for i in sorted(rows)]
 
 
@@ -412,7 +424,7 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
                 given = np.flatnonzero(context >= 0)
                 contexts, of = np.unique(context[given], return_inverse=True)
                 p[given] *= reader.weights(number, contexts)[of]
-                p[own] += VALUES[reader.find(number, keys, "share")[1]][back]
+                p[own] += probabilities(reader.find(number, keys, "share")[1], trie.levels[number].decades)[back]
             text = np.repeat(np.arange(len(sizes)), sizes)
             sums = [np.bincount(text, weights=x, minlength=len(sizes)) for x in (base, np.log10(np.minimum(p, 1.0)))]
             known = np.bincount(text, weights=count > 0, minlength=len(sizes)).astype(np.int64)
