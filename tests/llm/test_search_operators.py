@@ -102,6 +102,15 @@ def test_model_query(spark):
     assert all(r.n_known == r.n_tokens for r in got if not r.held_out) and all(r.score < 0 for r in got)
 
 
+def test_model_query_reads_triples(spark):
+    got = queries.QUERIES["op6_lm_score"](spark, FOLDER).collect()
+    docs = texts()
+    _, full, _ = brute_model(docs, [r.doc_id for r in got if not r.held_out], 3)
+    _, pairs, _ = brute_model(docs, [r.doc_id for r in got if not r.held_out], 2)
+    assert all(r.score == pytest.approx(full[r.doc_id], abs=0.01 + 0.001 * r.n_tokens) for r in got)
+    assert sum(full.values()) > sum(pairs.values()) + 1
+
+
 def test_model_is_a_distribution(spark):
     text = "a b a c a b b d a " * 3
     trie = lm.train(spark.createDataFrame([(1, text)], "doc_id long, text string"))

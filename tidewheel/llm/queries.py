@@ -14,6 +14,8 @@ from tidewheel.session import run_dir
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: Levels of the language model: words, pairs and triples.
+LM_ORDER = 3
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -161,7 +163,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 7) == 2
-    trie = lm.train(docs.where(~held_out))
+    trie = lm.train(docs.where(~held_out), LM_ORDER)
     return lm.score(docs, trie).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(trie.total).cast("long"))
 
 
