@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,6 +299,23 @@ def test_neighbours_recall(spark):
     assert np.mean(hits) > 0.8
 
 
+def test_neighbours_recall_by_default(spark, tmp_path):
+    # few curves ask for a longer window than the least one, as many vectors do
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((16_000, 64))
+    table = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x))})
+    pq.write_table(table, f"{tmp_path}/x.parquet")
+    got = defaultdict(set)
+    for r in curves.search(spark.read.parquet(f"{tmp_path}/x.parquet"), F.col("vec_id") % 40 == 0, curves=2).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = []
+    for q in range(0, len(x), 40):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits.append(len(got[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.9
+
+
 def test_neighbours_empty_and_few(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 1.0])], "vec_id long, embedding array<double>")
     assert curves.search(df.limit(0), F.col("vec_id") == 0).count() == 0

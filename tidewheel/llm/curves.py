@@ -7,8 +7,9 @@ inner products, and the curves' finds are merged.  Inner products become distanc
 all candidates to the length of the longest one.
 
 Equal vectors are one class, so that copies cannot fill a window; a class is searched once and its members are put in
-afterwards.  Work per query is ``curves * 2 * window`` products whatever the size of the table; recall falls slowly as
-the table grows, and more curves or a larger window raise it.
+afterwards.  Work per query is ``curves * 2 * window`` products.  A window of fixed size finds less and less as a table
+grows, so the window is measured: for some queries the true neighbours are worked out over all vectors, and the window is
+as large as it takes to hold the share ``RECALL`` of them on one curve or another.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ from pyspark.sql import functions as F
 from tidewheel.llm.common import bounded_batches, by_hash, saved
 from tidewheel.session import parallelism
 
-#: Curves, directions per curve, bits per direction, and positions looked at on each side.
+#: Curves, directions per curve, bits per direction, and positions looked at on each side at least.
 CURVES, DIRECTIONS, BITS, REACH = 12, 6, 8, 2_500
 #: Vectors that place and scale the grids (those whose ids have the smallest hashes), and where random numbers start.
 SAMPLE, SEED = 10_000, 7
+#: Queries (those whose ids have the smallest hashes) whose true neighbours set the window, and the share it has to hold.
+CHECKED, RECALL = 100, 0.93
 #: Finds kept beyond those asked for before they are ranked by exact sums.
 SPARE = 12
 
@@ -128,15 +131,52 @@ def _search_block(most: int, reach: int):
     return search
 
 
+def _needed_reach(classes: DataFrame, positioned: DataFrame, most: int) -> int:
+    """Positions on each side that hold the share ``RECALL`` of the true neighbours of some queries.
+
+    What comes to the driver is bounded: ``CHECKED`` queries, ``most`` neighbours of each, and their positions.
+    """
+    asked = by_hash(classes.where("query"), CHECKED, "class_id").select("class_id", "v").collect()
+    ids, x = np.array([r[0] for r in asked], np.int64), np.array([r[1] for r in asked], float)
+    if not len(ids):
+        return 0
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column(0).to_numpy()
+            score = np.array(batch.column(1).to_pylist(), float) @ x.T
+            score[own[:, None] == ids[None, :]] = -np.inf
+            top = np.argpartition(-score, min(most, len(own)) - 1, axis=0)[:most]
+            q = np.broadcast_to(ids, top.shape).ravel()
+            best, c = np.take_along_axis(score, top, axis=0).ravel(), own[top].ravel()
+            kept = best > -np.inf
+            yield pa.RecordBatch.from_arrays([pa.array(q[kept]), pa.array(c[kept]), pa.array(best[kept])], ["q", "c", "score"])
+
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
+    found = classes.select("class_id", "v").mapInArrow(nearest, "q long, c long, score double")
+    true = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= most).select("q", "c").toPandas()
+    if not len(true):
+        return 0
+    wanted = classes.sparkSession.createDataFrame([(int(i),) for i in np.union1d(true["q"], true["c"])], "class_id long")
+    at = positioned.join(F.broadcast(wanted), "class_id").select("curve", "class_id", "query", "position").toPandas()
+    queries, others = (at[at["query"] == kind].drop(columns="query").rename(columns={"class_id": x}) for kind, x in ((True, "q"), (False, "c")))
+    pairs = true.merge(queries, on="q").merge(others, on=["c", "curve"], suffixes=("_q", "_c"))
+    gaps = (pairs["position_q"] - pairs["position_c"]).abs().groupby([pairs["q"], pairs["c"]]).min()
+    return int(np.quantile(gaps, RECALL, method="higher"))
+
+
 def search(
-    vectors: DataFrame, is_query: Column, most: int = 20, curves: int = CURVES, directions: int = DIRECTIONS, reach: int = REACH
+    vectors: DataFrame, is_query: Column, most: int = 20, curves: int = CURVES, directions: int = DIRECTIONS, reach: int | None = None
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the ``most`` rows with the largest inner product found.
 
     ``vectors`` has ``vec_id, embedding``; ``is_query`` is a condition on ``vec_id``.  Every row but the query's own is a
     candidate; equal scores go by ``vec_id``.  Vectors that are null, zero or hold null or non-finite components take no
     part, nor do rows without id and vectors of another size than most have; repeated rows count once.  Other columns
-    are not read; an empty table gives an empty one.
+    are not read; an empty table gives an empty one.  Without ``reach`` it is ``REACH``, or more where that holds too few
+    of the true neighbours of some queries.
     """
     spark = vectors.sparkSession
     rows = saved(_usable(vectors), "vectors")
@@ -191,12 +231,15 @@ def search(
         starts.append(starts[-1] + counts.get(part, 0))
     first = spark.createDataFrame(list(enumerate(starts)), "part int, first long")
     position = F.col("first") + F.col("place")
-    width = 4 * reach
     # one row per partition
     positioned = lined.join(F.broadcast(first), "part").select("curve", "class_id", "query", "data", position.alias("position"))
+    if reach is None:
+        reach = max(REACH, _needed_reach(classes, positioned, most)) if starts[-1] > curves * REACH else REACH
+    width = 4 * min(reach, REACH)
     block = F.floor(F.col("position") / width).cast("long")
     reached = F.sequence(F.floor((F.col("position") - reach) / width).cast("long"), F.floor((F.col("position") + reach) / width).cast("long"))
-    dealt = positioned.select("*", F.explode(F.when(F.col("query"), F.array(block)).otherwise(reached)).alias("block"))
+    # blocks have the same size however far queries reach: a query goes to all that it reaches into
+    dealt = positioned.select("*", F.explode(F.when(F.col("query"), reached).otherwise(F.array(block))).alias("block"))
     finds = dealt.groupBy("curve", "block").applyInPandas(_search_block(most + 1, reach), "q long, c long, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     nearest = finds.distinct().withColumn("r", F.row_number().over(best)).where(F.col("r") <= most + 1).select("q", "c", "score")
