@@ -356,3 +356,13 @@ def test_toxicity_edges(spark):
         got = toxicity.rate(docs, toxicity.fit(docs, own)).collect()
         assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
     assert toxicity.score(docs.limit(0), toxicity.fit(docs, labels)).count() == 0
+
+
+def test_warc_query_cuts_pages(spark, monkeypatch):
+    paths, write, read = [], warc.write_warc, warc.read_warc
+    monkeypatch.setattr(warc, "write_warc", lambda pages, path, **k: (paths.append(path), write(pages, path, **k)))
+    queries.QUERIES["op8_warc"](spark, FOLDER)
+    assert warc.read_records(spark, paths[0]).where("record_type = 'continuation'").count() > 0
+    monkeypatch.setattr(warc, "read_warc", lambda *a: read(*a).withColumn("valid", F.lit(False)))
+    with pytest.raises(Exception, match="put together"):
+        queries.QUERIES["op8_warc"](spark, FOLDER).collect()

@@ -16,6 +16,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 #: Levels of the language model: words, pairs and triples.
 LM_ORDER = 3
+#: Small enough for pages of the test tables to be cut.
+SEGMENT_BYTES = 1 << 13
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -147,8 +149,9 @@ FROM (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM pages)
 """)
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "warc")
-    warc.write_warc(table(spark, sf_dir, "pages"), path)
-    return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    warc.write_warc(table(spark, sf_dir, "pages"), path, segment_bytes=SEGMENT_BYTES)
+    whole = F.when(F.col("valid"), F.col("page_id")).otherwise(F.raise_error(F.lit("a page was not put together again")).cast("long"))
+    return warc.read_warc(spark, path).select(whole.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query("op9_toxicity")
