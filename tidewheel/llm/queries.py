@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import chat, curves, jaccard_join, langid, lm, mixing, packing, toxicity, warc, winnowing
+from tidewheel.llm import (
+    chat, curves, jaccard_join, langid, lm, merkle, mixing, packing, simhash, toxicity, warc, whitening, winnowing,
+)
 from tidewheel.llm.common import fold, table
 from tidewheel.session import run_dir
 
@@ -197,3 +199,80 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_hilbert_neighbours")
 def op2_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+#: CRC-32 of the decimal digits: a byte is mixed in, then eight times one bit is shifted out.
+_CRC = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+         lambda d: [ascii(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+         lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_LEAF.replace("{n}", "n_chars")} AS leaf, {_LEAF.replace("{n}", "(n_chars + 1)")} AS changed,
+         doc_id IS NOT NULL AND {_CRC} % 7 = 0 AS tampered
+  FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS total
+  FROM leaves
+), nodes AS (
+  SELECT lang, 0 AS level, pos, total, leaf AS hash FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, max((total + 1) // 2), sha256(string_agg(hash, '' ORDER BY pos)) FROM nodes
+  WHERE total > 1 GROUP BY lang, level, pos // 2
+), subroots AS (
+  SELECT lang, level AS height, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS total
+  FROM nodes WHERE total = 1
+), tops AS (
+  SELECT 0 AS level, pos, total, subroot AS hash FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, max((total + 1) // 2), sha256(string_agg(hash, '' ORDER BY pos)) FROM tops
+  WHERE total > 1 GROUP BY level, pos // 2
+), full_rows AS (
+  SELECT p.*, s.height, s.subroot, s.pos AS place, (SELECT max(level) FROM tops) AS top, (SELECT hash FROM tops WHERE total = 1) AS root
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+), steps AS (
+  SELECT f.lang, f.pos AS leaf_pos, unnest(range(height + top)) AS step, f.height, f.pos, f.place FROM full_rows f
+), siblings AS (
+  SELECT s.lang, s.leaf_pos, s.step, s.pos >> s.step AS node, n.hash FROM steps s
+  LEFT JOIN nodes n ON n.lang IS NOT DISTINCT FROM s.lang AND n.level = s.step AND n.pos = xor(s.pos >> s.step, 1) WHERE s.step < s.height
+  UNION ALL
+  SELECT s.lang, s.leaf_pos, s.step, s.place >> (s.step - s.height), t.hash FROM steps s
+  LEFT JOIN tops t ON t.level = s.step - s.height AND t.pos = xor(s.place >> (s.step - s.height), 1) WHERE s.step >= s.height
+), folded AS (
+  SELECT lang, pos AS leaf_pos, 0 AS step, CASE WHEN tampered THEN changed ELSE leaf END AS hash FROM full_rows
+  UNION ALL
+  SELECT f.lang, f.leaf_pos, f.step + 1,
+         sha256(CASE WHEN s.node % 2 = 0 THEN f.hash || coalesce(s.hash, '') ELSE coalesce(s.hash, '') || f.hash END)
+  FROM folded f JOIN siblings s ON s.lang IS NOT DISTINCT FROM f.lang AND s.leaf_pos = f.leaf_pos AND s.step = f.step
+), proofs AS (
+  SELECT lang, leaf_pos, sha256(coalesce(string_agg(hash, '' ORDER BY step), '')) AS proof FROM siblings GROUP BY lang, leaf_pos
+)
+SELECT f.doc_id, f.leaf, f.subroot, f.root, coalesce(p.proof, sha256('')) AS proof_sha256, g.hash AS folded_root, g.hash = f.root AS verified
+FROM full_rows f
+JOIN folded g ON g.lang IS NOT DISTINCT FROM f.lang AND g.leaf_pos = f.pos AND g.step = f.height + f.top
+LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM f.lang AND p.leaf_pos = f.pos
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    leaf = lambda n: merkle.leaf(*[F.col(c) for c in ("doc_id", "source", "lang")], n, F.col("text"))
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, leaf(F.col("n_chars") + 1))
+    leaves = docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"), changed.alias("changed"))
+    listed = merkle.manifest(leaves, "lang", "doc_id")
+    folded = merkle.fold(F.coalesce("row.changed", "row.leaf"), F.col("path"))
+    proved = listed.select("row.doc_id", "row.leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@query("op13_simhash")
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
