@@ -26,8 +26,8 @@ from tidewheel.llm.components import components
 
 #: Words in a shingle, seed of its hash, and the most bits by which linked fingerprints differ.
 K, SEED, RADIUS = 4, 42, 4
-#: Fingerprints of a block: a 64th of all, within these bounds.
-LEAST_BLOCK, MOST_BLOCK, BLOCKS = 1 << 14, 1 << 20, 64
+#: Fingerprints of a block: a 32nd of all, so that each moves as often at every size, within these bounds.
+LEAST_BLOCK, MOST_BLOCK, BLOCKS = 1 << 10, 1 << 20, 32
 #: Comparisons of one numpy step, and bytes of a text whose words are in memory at once.
 STEP, PIECE = 1 << 18, 1 << 20
 _GAP = re.compile(rb"[\x20\x09-\x0d]")
