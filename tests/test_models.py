@@ -132,7 +132,7 @@ def test_prepare_and_balanced_classifier(spark):
     coded, features = classify.prepare(df)
     assert features == ["id", "v", "kind"] and {r.label for r in coded.select("label").distinct().collect()} == {0, 1, 2}
     parts = stratified_split(coded, "label", ["id"])
-    model = classify.fit_balanced(parts.where("split = 'train'"), ["v", "kind"], "id", maxIter=3, maxDepth=3)
+    model = classify.fit_balanced(parts.where("split = 'train'"), ["v", "kind"], "id", rounds=12, depth=3, rate=0.4)
     scored = model.transform(parts.where("split = 'test'")).withColumn("prediction", F.col("prediction").cast("int"))
     assert classification_metrics(scored, "label", "prediction").first().accuracy > 0.9
     continuous, _ = classify.prepare(df.drop("level").withColumn("target_class", F.col("v") * 2), "target_class")

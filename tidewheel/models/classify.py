@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tidewheel.functions.binning import quantile_code
 from tidewheel.functions.schema import label_column
-from tidewheel.models.regression import fit_kept, kept
+from tidewheel.models import boosting
+from tidewheel.models.boosting import Boosted, Settings
+from tidewheel.models.regression import kept
 from tidewheel.operators.encode import encode, ordered_codes
 from tidewheel.operators.joins import join_same
 from tidewheel.operators.oversample import oversample
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles
+from tidewheel.operators.split import hash_split
 
 # The boosted classifier's settings.
-BOOSTING = {"maxIter": 300, "stepSize": 0.1, "maxDepth": 5, "subsamplingRate": 0.8, "seed": 42}
+BOOSTING = Settings(rounds=300, rate=0.1, depth=5, row_share=0.8, seed=42)
 
 # Fixed value: what a missing category is called before coding.
 NULL_CATEGORY = "nan"
@@ -64,20 +64,17 @@ def prepare(df: DataFrame, target: str | None = None, max_classes: int = 20) ->
     return kept(coded.dropna()), features
 
 
-def boosted_classifier(features: Sequence[str], label: str = "label", **settings: object) -> Pipeline:
-    """One boosted binary model per class against the rest."""
-    binary = GBTClassifier(featuresCol="features", labelCol=label, **{**BOOSTING, **settings})
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"),
-            OneVsRest(classifier=binary, featuresCol="features", labelCol=label, parallelism=3),
-        ]
-    )
-
-
 def fit_balanced(
-    train: DataFrame, features: Sequence[str], row_id: str, label: str = "label", seed: int = 42, **settings: object
-) -> PipelineModel:
-    """Oversample the training rows, then fit the boosted classifier on them."""
-    balanced = oversample(train, label, features, row_id, seed=seed)
-    return fit_kept(boosted_classifier(features, label, **settings), balanced)
+    train: DataFrame, features: Sequence[str], row_id: str, label: str = "label", held_share: float = 0.1, seed: int = 42, **settings: object
+) -> Boosted:
+    """Hold a share of the training rows out, oversample the others, and boost one model of all classes on them.
+
+    Boosting stops when the loss on the rows held out, which have no synthetic neighbours among the others, no longer falls.
+    ``settings`` are those of :class:`boosting.Settings`.  Classes are the codes 0 to the largest one in ``label``.
+    """
+    parts = kept(hash_split(train, [row_id], {"train": 1 - held_share, "held": held_share}, seed, "_part"))
+    rows = oversample(parts.where(F.col("_part") == "train"), label, features, row_id, seed=seed).drop("is_synthetic")
+    held = parts.where(F.col("_part") == "held").select(label, *(F.col(c).cast("double").alias(c) for c in features))
+    both = rows.select(label, *features).withColumn("_held", F.lit(False)).unionByName(held.withColumn("_held", F.lit(True)))
+    classes = (train.agg(F.max(label)).first()[0] or 0) + 1
+    return boosting.fit(kept(both), features, label, max(2, classes), "_held", BOOSTING, seed=seed, **settings)

@@ -7,10 +7,10 @@ from dataclasses import replace
 
 from pyspark.ml import Estimator
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.models.least_squares import moments
 from tidewheel.operators.metrics import regression_metrics
 from tidewheel.operators.scale import attach, fit_min_max, min_max, min_max_inverse
 from tidewheel.operators.series import lag, over_series, past_mean, sequences
@@ -65,36 +65,32 @@ def horizon_forecast(
     length: int = 30,
     horizon: int = 7,
     estimator: Estimator | None = None,
+    part: str = "test",
     **options: object,
 ) -> DataFrame:
-    """Test predictions in original units: keys, time, step (1..horizon), actual, prediction.
+    """Predictions for one ``part`` in original units: keys, time, step (1..horizon), actual, prediction.
 
     ``options`` go to :func:`supervised`.
 
-    One model per step, trained on the windows of all series; the sequences are checkpointed once for all steps.
+    All steps are linear models of the same windows, so one pass of moments over the training windows of all series solves
+    them together, and windows are streamed to it without being stored.  An ``estimator`` is fitted once per step instead.
     """
-    shared_dir(df.sparkSession)
-    estimator = estimator or LinearRegression(regParam=1e-4)
     low, high = F.col(f"{panel.value}_min"), F.col(f"{panel.value}_max")
-    ready = (
-        supervised(df, panel, length, horizon, **options)
-        .select(*panel.keys, panel.time, "split", low, high, array_to_vector("inputs").alias("features"), "targets")
-        .checkpoint()
-    )
-    train, test = ready.where(F.col("split") == "train"), ready.where(F.col("split") == "test")
-    for step in range(1, horizon + 1):
-        target = F.get("targets", F.lit(step - 1))
-        model = estimator.copy(
-            {estimator.labelCol: "_y", estimator.featuresCol: "features", estimator.predictionCol: f"_p{step}"}
-        ).fit(train.withColumn("_y", target))
-        test = model.transform(test)
+    ready = supervised(df, panel, length, horizon, **options).select(*panel.keys, panel.time, "split", low, high, "inputs", "targets")
+    if estimator is None:
+        fitted = moments(ready.where(F.col("split") == "train"), "inputs", "targets")
+        found = fitted[0].solve() if fitted else None
+        guesses = found.apply(F.col("inputs")) if found else F.lit(None).cast("array<double>")
+        scored = ready.where(F.col("split") == part).withColumn("_p", guesses)
+    else:
+        scored = _step_by_step(ready, estimator, horizon, part)
     steps = F.array(
         *(
-            F.struct(F.lit(s).alias("step"), F.get("targets", F.lit(s - 1)).alias("y"), F.col(f"_p{s}").alias("p"))
+            F.struct(F.lit(s).alias("step"), F.get("targets", F.lit(s - 1)).alias("y"), F.get("_p", F.lit(s - 1)).alias("p"))
             for s in range(1, horizon + 1)
         )
     )
-    return test.select(*panel.keys, panel.time, low, high, F.inline(steps)).select(
+    return scored.select(*panel.keys, panel.time, low, high, F.inline(steps)).select(
         *panel.keys,
         panel.time,
         "step",
@@ -103,6 +99,18 @@ def horizon_forecast(
     )
 
 
+def _step_by_step(ready: DataFrame, estimator: Estimator, horizon: int, part: str) -> DataFrame:
+    """One model per step; the windows are checkpointed once for all of them."""
+    shared_dir(ready.sparkSession)
+    kept = ready.withColumn("_features", array_to_vector("inputs")).checkpoint()
+    train, scored = kept.where(F.col("split") == "train"), kept.where(F.col("split") == part)
+    for step in range(1, horizon + 1):
+        names = {estimator.labelCol: "_y", estimator.featuresCol: "_features", estimator.predictionCol: f"_p{step}"}
+        model = estimator.copy(names).fit(train.withColumn("_y", F.get("targets", F.lit(step - 1))))
+        scored = model.transform(scored)
+    return scored.withColumn("_p", F.array(*(F.col(f"_p{s}") for s in range(1, horizon + 1))))
+
+
 def horizon_metrics(predictions: DataFrame, by: Sequence[str] = ("step",)) -> DataFrame:
     """Scores per step, with step 0 for all steps together."""
     each = regression_metrics(predictions, "actual", "prediction", by)
