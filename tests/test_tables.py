@@ -210,3 +210,24 @@ def test_codes(spark):
     assert freq == {"b": 0, "a": 1, "m": 2}
     unseen = encode.index_by_frequency(df.where("s <> 'a'"), df, "s", "code").collect()
     assert {r.s: r.code for r in unseen} == {"b": 0, "m": 1, "a": 2, None: 2}
+
+
+def test_quantiles_of_odd_groups(spark):
+    rows = [("a", None), ("b", 1.0), ("c", 2.0), ("c", 4.0), (None, 7.0), (None, 9.0), (None, 8.0)] + [("hot", 5.0)] * 3000 + [("hot", float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v double").withColumn("_v", F.lit(1)).withColumn("_c", F.lit(1)).withColumn("_n", F.lit(2))
+    found = {r.k: tuple(r)[1:] for r in quantiles.exact_quantiles(df, "v", {"lo": 0.0, "mid": 0.5, "hi": 1.0}, ["k"]).collect()}
+    hot = np.array([v for k, v in rows if k == "hot"])
+    assert found == {"b": (1, 1, 1), "c": (2, 3, 4), None: (7, 8, 9), "hot": (0, np.median(hot), 2999)}
+    none = quantiles.exact_quantiles(df.where("k = 'a'"), "v", {"mid": 0.5}).collect()
+    assert [tuple(r) for r in none] == [(None,)]
+
+
+def test_quantiles_count_inside_brackets_only(spark):
+    rng = np.random.default_rng(7)
+    values = np.concatenate([rng.normal(size=50_000), np.full(20_000, 0.25), rng.integers(0, 9, 5_000)])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(16)
+    # a coarse sketch, so that most rows lie outside
+    found = quantiles.exact_quantiles(df, "v", {"a": 0.01, "b": 0.37, "c": 0.99}, accuracy=100).first()
+    assert tuple(found) == pytest.approx(tuple(np.quantile(values, [0.01, 0.37, 0.99])), abs=0)
+    plan = quantiles.exact_quantiles(df, "v", {"b": 0.5})._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan

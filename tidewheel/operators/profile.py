@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.operators.clean import WHISKER
 from tidewheel.operators.joins import join_same
-from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles, quantile_of_ranked, ranked_values
-from tidewheel.session import parallelism
+from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles
 
 
 def dataset_profile(df: DataFrame, time: str, keys: Sequence[str], approx: bool = False) -> DataFrame:
@@ -102,29 +101,15 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 
 def box_plot(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Quartiles, whisker ends (most extreme values within 1.5 interquartile ranges) and outlier count per group."""
-    ranked = ranked_values(df, value, by)
-    quartiles = ranked.groupBy(*by).agg(
-        *(quantile_of_ranked(value, p).alias(n) for n, p in {"q1": 0.25, "median": 0.5, "q3": 0.75}.items())
-    )
+    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     v = F.col(value)
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
-    # a group's distinct values are spread over as many salts as there are tasks, so that no group is joined in one
-    salts = parallelism(df.sparkSession)
-    counts = (
-        df.where(v.isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(salts)))
-    )
-    salted = quartiles.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1))))
-    return (
-        join_same(counts, salted, [*by, "_salt"])
-        .groupBy(*by, "q1", "median", "q3")
-        .agg(
-            F.min(F.when(inside, v)).alias("whisker_low"),
-            F.max(F.when(inside, v)).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
-            F.sum("n").alias("n"),
-        )
+    # one row per group on the right: broadcast where that is small, split by adaptive execution where a group is hot
+    joined = join_same(df.where(v.isNotNull()).select(*by, value), quartiles, by)
+    return joined.groupBy(*by, "q1", "median", "q3").agg(
+        F.min(F.when(inside, v)).alias("whisker_low"),
+        F.max(F.when(inside, v)).alias("whisker_high"),
+        F.count_if(~inside).alias("outliers"),
+        F.count(F.lit(1)).alias("n"),
     )
