@@ -366,3 +366,27 @@ def test_warc_query_cuts_pages(spark, monkeypatch):
     monkeypatch.setattr(warc, "read_warc", lambda *a: read(*a).withColumn("valid", F.lit(False)))
     with pytest.raises(Exception, match="put together"):
         queries.QUERIES["op8_warc"](spark, FOLDER).collect()
+
+
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_other_tokenizers(file):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(file)
+    own = [t or "" for _, t in texts()[:60]] + [t or "" for _, t in ODD]
+    whole = Tokenizer.from_file(path)
+    got = packing.encoder(path, 1000).ids(pa.array(own))
+    assert [g.tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in own]
+
+
+def test_repeated_pieces_are_dealt_out(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(9).cast("long").alias("length"), F.lit(1).cast("long").alias("ids_crc32"))
+    placed = packing.pack(rows, capacity=100, group_rows=300, rounds=1)
+    groups = placed.groupBy(F.shiftright("sequence_id", 24)).count().collect()
+    assert len(groups) == 10 and max(r["count"] for r in groups) < 500 and placed.count() == 3000
+
+
+def test_profiles_are_limited_early(spark):
+    plan = langid.learn(odd_docs(spark).withColumn("lang", F.lit("en")))._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan

@@ -10,9 +10,11 @@ anew into fewer groups, and so on until one group is left or ``rounds`` are over
 
 from __future__ import annotations
 
+import json
 import math
 import os
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
@@ -24,11 +26,15 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.common import bounded_batches, claim, saved, worker_cache
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLACED = PIECES + ", sequence_id long, offset long"
-#: Words kept with their ids by a worker, and the longest such word in bytes.
-KEPT_WORDS, KEPT_BYTES = 120_000, 48
-_encoders: dict[str, WordEncoder] = worker_cache()
+PLACED = PIECES + ", row long, sequence_id long, offset long"
+#: About so many bytes of words with their ids are kept by a worker (twice, as the ones before are kept too), what a word
+#: counts for, and the longest such word in bytes.
+KEPT_BYTES, WORD_BYTES, LONG_WORD = 80 << 20, 200, 48
+_encoders: dict[tuple, WordEncoder | TextEncoder] = worker_cache()
 
 
 #: Fixed values of the tokenizer files with word ends: how they cut text, and what closes the last id of a cut.
@@ -45,14 +51,12 @@ class WordEncoder:
     cut.  Words that are not plain Latin, and any block in which the counts differ, are encoded one by one.
     """
 
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+    def __init__(self, tokenizer: Tokenizer, most: int) -> None:
+        self.tokenizer, self.most = tokenizer, most
+        self.known: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.held = 0
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[n for t, n in vocabulary.items() if t.endswith(WORD_END)]] = True
 
@@ -70,14 +74,21 @@ class WordEncoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip([0, *stops], stops)]
 
+    def keep(self, found: dict[bytes, bytes]) -> None:
+        """Remember the ids of words, but for very long ones."""
+        self.known.update(found)
+        self.held += WORD_BYTES * len(found)
+        for w in [w for w in found if len(w) > LONG_WORD]:
+            del self.known[w]
+
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words: those of the lower-cased word without a final comma or full stop, and those of that mark."""
-        known, core = self.known, {}
-        for w in words:
-            low = w if b"<|" in w else w.lower()
-            core[w] = low[:-1] if low[-1:] in (b",", b".") and low[-2:-1].isalpha() else low
-        new = {c for c in core.values() if c not in known}
-        new.update(m for m in (b",", b".") if m not in known)
+        lows = [w if b"<|" in w else w.lower() for w in words]
+        cores = [low[:-1] if low[-1:] in (b",", b".") and low[-2:-1].isalpha() else low for low in lows]
+        known, older = self.known, self.older
+        ids = {c: known.get(c) or older.get(c) for c in cores}
+        ids |= {m: None for m in (b",", b".")}
+        new = [c for c, held in ids.items() if held is None]
         texts = [c.decode("utf-8", "replace") for c in new]
         found = dict(zip(texts, new))
         plain = [t for t in texts if t.isascii() and "<|" not in t or PLAIN.fullmatch(t)]
@@ -85,28 +96,27 @@ class WordEncoder:
         for some, encode in ((plain, self.block), (odd, self.single)):
             for at in range(0, len(some), 4096):
                 block = some[at : at + 4096]
-                known.update(zip([found[t] for t in block], encode(block)))
-        marks = {b",": known[b","], b".": known[b"."]}
-        return {w: known[c] if len(c) == len(w) else known[c] + marks[w[-1:]] for w, c in core.items()}
+                ids.update(zip([found[t] for t in block], encode(block)))
+        out = {w: ids[c] if len(c) == len(w) else ids[c] + ids[w[-1:]] for w, c in zip(words, cores)}
+        self.keep(out)
+        return out
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text: words are cut and numbered by Arrow, looked up once per batch and laid out by numpy."""
         words = pc.ascii_split_whitespace(texts)
         stops = words.offsets.to_numpy() - words.offsets[0].as_py()
         coded = words.flatten().dictionary_encode()
-        distinct = [w.encode() for w in coded.dictionary.to_pylist()]
-        if len(self.known) > KEPT_WORDS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        missing = [w for w in distinct if w not in known]
-        known.update((w, older[w]) for w in missing if w in older)
-        known[b""] = b""
-        known.update(self.learn([w for w in missing if w not in known]))
-        found = [known[w] for w in distinct]
-        for w in missing:
-            if len(w) > KEPT_BYTES:
-                known.pop(w, None)
-        length = np.array([len(x) >> 2 for x in found], np.int64)
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        if self.held > self.most:
+            self.known, self.older, self.held = {b"": b""}, self.known, 0
+        found = list(map(self.known.get, distinct))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        again = {distinct[i]: ids for i in missing if (ids := self.older.get(distinct[i])) is not None}
+        self.keep(again)
+        again |= self.learn([distinct[i] for i in missing if distinct[i] not in again])
+        for i in missing:
+            found[i] = again[distinct[i]]
+        length = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         start = np.cumsum(length) - length
         pool = np.frombuffer(b"".join(found), "<u4")
         at = coded.indices.to_numpy()
@@ -116,19 +126,42 @@ class WordEncoder:
         return np.split(laid, upto[stops[1:-1]]) if len(texts) else []
 
 
-def encoder(path: str) -> WordEncoder:
+class TextEncoder:
+    """Ids of texts by any tokenizer: whole texts, one after the other."""
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        self.tokenizer = tokenizer
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4") for t in texts.to_pylist()]
+
+
+def by_words(rules: dict) -> bool:
+    """Whether a tokenizer file lower-cases text, cuts it as ``CUTS`` does and marks word ends: then words can be encoded apart."""
+    steps = lambda part, inner: (rules.get(part) or {}).get(inner, [rules.get(part) or {}])
+    lowers = any(s.get("type") == "Lowercase" for s in steps("normalizer", "normalizers"))
+    cuts = [s["pattern"].get("Regex") for s in steps("pre_tokenizer", "pretokenizers") if s.get("type") == "Split"]
+    return lowers and cuts == [CUTS.pattern] and rules["model"].get("end_of_word_suffix") == WORD_END
+
+
+def encoder(path: str, most: int = KEPT_BYTES) -> WordEncoder | TextEncoder:
     """One encoder per worker process and file."""
     claim(_encoders)
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    if (path, most) not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        _encoders[(path, most)] = WordEncoder(tokenizer, most) if by_words(json.loads(tokenizer.to_str())) else TextEncoder(tokenizer)
+    return _encoders[(path, most)]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, kept_bytes: int = KEPT_BYTES) -> DataFrame:
     """One row per piece: the ids of the text and ``end_id``, cut every ``capacity`` ids.
 
-    ``tokenizer`` is the path of a ``tokenizers`` file that every executor can open.  A null text counts as empty and
-    gives one piece of one id.  Repeated rows give repeated pieces.
+    ``tokenizer`` is the path of a ``tokenizers`` file that every executor can open; a worker remembers about twice
+    ``kept_bytes`` of words, which changes its speed only.  A null text counts as empty and gives one piece of one id.
+    Repeated rows give repeated pieces.  Other columns aren't read; an empty table gives an empty one.
     """
     import zlib
 
@@ -136,7 +169,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer)
+        words = encoder(tokenizer, kept_bytes)
         for batch in batches:
             keys = batch.column(0).to_pylist()
             rows: list[tuple] = []
@@ -209,7 +242,7 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _packed_group(capacity: int, number: int, last: bool):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "piece", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["doc_id", "piece", "start", "ids_crc32", "row"], kind="stable").reset_index(drop=True)
         sizes = rows["length"].to_numpy(np.int64)
         bins, offsets = best_fit(sizes, capacity)
         fill = np.bincount(bins, weights=sizes).astype(np.int64)
@@ -233,7 +266,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_rows: int = 20_000, roun
     Adds ``sequence_id`` and ``offset``.  Repeated rows are placed one by one; an empty table gives an empty one; other
     columns are not read.  Jobs run when it is called: pieces are written once, then a table per round.
     """
-    pieces = saved(pieces.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
+    # rows are numbered, so that repeated ones are dealt out like any others
+    numbered = pieces.select("doc_id", "piece", "start", "length", "ids_crc32", F.monotonically_increasing_id().alias("row"))
+    pieces = saved(numbered, "pieces")
     whole = pieces.where(F.col("length") == capacity)
     done = [
         whole.withColumn("sequence_id", F.monotonically_increasing_id().bitwiseOR(F.lit(1 << 62))).withColumn("offset", F.lit(0).cast("long"))
@@ -245,15 +280,15 @@ def pack(pieces: DataFrame, capacity: int = 2048, group_rows: int = 20_000, roun
         if before is not None and groups >= before:
             groups = max(1, before // 2)
         before, last = groups, number == rounds - 1 or groups == 1
-        dealt = rest.withColumn("slot", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.lit(number)), F.lit(groups)).cast("long"))
+        dealt = rest.withColumn("slot", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(groups)).cast("long"))
         placed = saved(
             dealt.groupBy("slot").applyInPandas(_packed_group(capacity, number, last), PLACED + ", back boolean"), f"packed-{number}"
         )
         done.append(placed.where(~F.col("back")).drop("back"))
-        rest = placed.where("back").select("doc_id", "piece", "start", "length", "ids_crc32")
+        rest = placed.where("back").select("doc_id", "piece", "start", "length", "ids_crc32", "row")
         if last:
             break
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out
+    return out.drop("row")
