@@ -1,5 +1,6 @@
 import json
 import uuid
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from tidewheel.session import run_dir
 from tidewheel.sources import kafka
 from tidewheel.streaming import sinks
-from tidewheel.streaming.windows import cumulative_totals, window_totals
+from tidewheel.streaming.keyed import KeyedTable
+from tidewheel.streaming.windows import cumulative_totals, once, window_totals
 
 
 def message(date, country="CN", sector="Power", value=1.0, **extra):
@@ -154,3 +156,73 @@ def test_compaction_and_newest_batch(spark, tmp_path):
     assert sinks.compact(spark, f"{tmp_path}/out", ["k"], f"{tmp_path}/small") == 2
     assert {(r.k, r.v) for r in sinks.read_latest(spark, f"{tmp_path}/small", ["k"]).collect()} == newest == {("a", 3), ("b", 1), ("c", 1)}
     assert {(r.k, r.v) for r in sinks.read_complete(spark, f"{tmp_path}/out").collect()} == {("a", 3), ("c", 1)}
+
+
+# keyed table
+
+
+def keyed(spark, **options):
+    return KeyedTable(run_dir(spark, "keyed"), ("k",), **options)
+
+
+def values(df):
+    return {r.k: r.v for r in df.collect()}
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(list(rows), "k long, v double, at long")
+
+
+def test_upserts_and_replays(spark):
+    table, want = keyed(spark, buckets=5, most=2), {}
+    assert table.read(spark) is None and table.lookup(batch(spark, (1, 1.0, 1))) is None
+    for number in range(8):
+        rows = [(k % 23, float(number * 100 + k), k) for k in range(number, 23 * 2, number + 1)]
+        table.upsert(batch(spark, *rows), number, ["at"])
+        for k, v, _ in rows:
+            want[k] = v
+        if number in (3, 7):  # again, as after a failure
+            table.upsert(batch(spark, *rows), number, ["at"])
+        assert values(table.read(spark)) == want
+        counts = Counter(b for b, _, _ in table.entries(spark))
+        assert max(counts.values()) <= 2
+    # an older batch that comes again changes nothing, nor does one that died before its commit
+    table.upsert(batch(spark, (1, -1.0, 9)), 2, ["at"])
+    table._numbered(batch(spark, (1, -1.0, 9))).write.partitionBy("_bucket").parquet(f"{table.path}/rows/batch_id=99")
+    assert values(table.read(spark)) == want
+    assert values(table.lookup(batch(spark, (1, 0.0, 0), (77, 0.0, 0)))) == {1: want[1]}
+
+
+def test_small_update_reads_few_files(spark):
+    table = keyed(spark, bucket=F.floor(F.col("k") / 10), most=3)
+    table.upsert(spark.range(1000).select(F.col("id").alias("k"), F.lit(0.0).alias("v"), F.lit(0).cast("long").alias("at")), 0)
+    before = table.entries(spark)
+    for number in range(1, 6):
+        table.upsert(batch(spark, *((k, float(number), 1) for k in range(500, 510))), number)
+    after = table.entries(spark)
+    assert len(before) == 100 and set(before) - set(after) <= {(50, 0, 10)} and {e[0] for e in set(after) - set(before)} == {50}
+    one = table.lookup(batch(spark, (505, 0.0, 0)))
+    assert values(one) == {505: 5.0} and len(one.inputFiles()) <= 3
+    assert values(table.read(spark)) == {k: 5.0 if 500 <= k < 510 else 0.0 for k in range(1000)}
+
+
+def test_null_keys_empty_batches_and_ties(spark):
+    table = keyed(spark)
+    table.upsert(batch(spark), 0)
+    assert table.read(spark) is None
+    table.upsert(batch(spark, (None, 1.0, 1), (2, 5.0, 1), (2, 5.0, 1), (2, 3.0, 1)), 1)
+    table.upsert(batch(spark), 2)
+    assert values(table.read(spark)) == {None: 1.0, 2: 5.0}
+
+
+def test_each_message_once(spark):
+    body = [message("2024-01-01", value=float(v), _kafka_ingested_at=f"2024-01-01T00:00:0{v}") for v in (1, 2, 3)]
+    path = run_dir(spark, "twice")
+    for part in (body[:2], body, [body[2], message("2024-01-01", value=9.0), message("2024-01-01", value=9.0)]):
+        topic(spark, part).coalesce(1).write.mode("append").parquet(path)
+    read = spark.readStream.schema("key binary, value binary, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    out = run_dir(spark, "once")
+    sinks.start_raw(once(kafka.valid(kafka.decode(read))), out, run_dir(spark, "cp"), f"o{uuid.uuid4().hex[:6]}", drain=True).awaitTermination()
+    assert sorted(r.mtco2_per_day for r in sinks.read_raw(spark, out).collect()) == [1.0, 2.0, 3.0, 9.0]
+    static = once(kafka.valid(kafka.decode(topic(spark, body + body))))
+    assert static.count() == 3

@@ -181,18 +181,25 @@ def messages(events: DataFrame) -> DataFrame:
     return encoded.withColumnRenamed("arrived", "timestamp")
 
 
-def event_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1, slices: int = 4) -> DataFrame:
-    """The events table as a stream of several micro-batches: its rows by time, delivered in ``slices`` files."""
+def event_stream(spark: SparkSession, folder: str, slices: int = 4, resent: bool = False) -> DataFrame:
+    """The events table as a stream of several micro-batches: its rows by time, delivered slice by slice.
+
+    ``resent``: every third event comes again with the next slice, as from a producer that had no answer.
+    """
     events = table(spark, folder, "events")
     path = run_dir(spark, "feed")
     at = F.col("ts").cast("timestamp").cast("double")
     first, last = events.agg(F.min(at), F.max(at)).first()
     slot = F.least(F.floor((at - first) / ((last - first) / slices)), F.lit(slices - 1))
     for i in range(slices):
-        # one after the other, since a file source takes the oldest file first
-        events.where(slot == i).coalesce(1).write.parquet(f"{path}/{i}")
+        # one after the other, since a file source takes the oldest files first
+        due = slot == i
+        if resent:
+            due = due | ((slot == i - 1) & (F.col("event_id") % 3 == 0))
+        events.where(due).write.parquet(f"{path}/{i}")
     return (
         spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        # a slice has as many files as the table has partitions
+        .option("maxFilesPerTrigger", events.rdd.getNumPartitions())
         .parquet(f"{path}/*")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.operators.metrics import comparison_record
@@ -24,8 +24,9 @@ from tidewheel.sources.readers import (
 from tidewheel.sources.writers import (
     append, log_run, write_csv, write_for_lookup, write_metrics, write_partitioned, write_top_json,
 )
-from tidewheel.streaming.sinks import compact, read_latest, read_raw, start_aggregates, start_raw
-from tidewheel.streaming.windows import KEYS, cumulative_totals, window_totals
+from tidewheel.streaming.keyed import KeyedTable
+from tidewheel.streaming.sinks import compact, read_latest, read_raw, start_aggregates, start_raw, start_upserts
+from tidewheel.streaming.windows import KEYS, cumulative_totals, once, window_totals
 
 
 
@@ -380,3 +381,33 @@ def stream_compacted(spark, folder):
     batches = spark.read.parquet(f"{path}/out").agg(F.count_distinct("batch_id")).scalar()
     compact(spark, f"{path}/out", WINDOW_KEYS, f"{path}/compacted")
     return _windows(read_latest(spark, f"{path}/compacted", WINDOW_KEYS)).withColumn("several_batches", batches >= 3)
+
+
+@query("stream_resent", f"WITH {DAILY_TOTALS} SELECT {DAILY_COLUMNS} FROM d")
+def stream_resent(spark, folder):
+    """A feed in which every third message comes twice, in different micro-batches, gives the totals of the clean one."""
+    path = run_dir(spark, "stream-resent")
+    stream = once(valid(decode(messages(event_stream(spark, folder, resent=True)))), [*KEYS, "date", "mtco2_per_day"])
+    start_raw(stream, f"{path}/out", f"{path}/checkpoint", f"resent-{path[-8:]}", drain=True).awaitTermination()
+    return _windows(window_totals(read_raw(spark, f"{path}/out")))
+
+
+def _by_day(column: str) -> Column:
+    """A window's bucket: its day."""
+    return F.unix_date(F.col(column).cast("date"))
+
+
+@query("stream_keyed", f"WITH {DAILY_TOTALS} SELECT {DAILY_COLUMNS}, TRUE AS reads_a_part FROM d")
+def stream_keyed(spark, folder):
+    """Window totals of five slices kept as a keyed table, whose newest batch is replayed; a lookup opens a part of the files."""
+    path = run_dir(spark, "stream-keyed")
+    kept = KeyedTable(f"{path}/table", tuple(WINDOW_KEYS), bucket=_by_day("window_start"), most=2)
+    totals = window_totals(valid(decode(messages(event_stream(spark, folder, slices=5)))))
+    start_upserts(totals, kept, f"{path}/checkpoint", ["last_updated"], f"keyed-{path[-8:]}", drain=True).awaitTermination()
+    whole = kept.read(spark)
+    newest = max(batch for _, batch, _ in kept.entries(spark))
+    last = spark.read.option("basePath", f"{kept.path}/rows").parquet(f"{kept.path}/rows/batch_id={newest}").drop("_bucket", "batch_id")
+    kept.upsert(last.checkpoint(), newest, ["last_updated"])
+    day = whole.select(*WINDOW_KEYS).where(F.col("window_start") == whole.agg(F.max("window_start")).scalar()).checkpoint()
+    opened, files = len(kept.lookup(day).inputFiles()), len(kept.read(spark).inputFiles())
+    return _windows(kept.read(spark)).withColumn("reads_a_part", F.lit(0 < 10 * opened <= files))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewheel.operators.rollup import latest
+from tidewheel.streaming.keyed import KeyedTable
 
 # Fixed value: seconds between micro-batches.
 TRIGGER_SECONDS = 10
@@ -67,6 +68,13 @@ def start_aggregates(
     return _writer(stream, batch_writer(path), checkpoint, name, mode, drain).start()
 
 
+def start_upserts(
+    stream: DataFrame, table: KeyedTable, checkpoint: str, order: Sequence[str] = (), name: str = "upserts", mode: str = "update", drain: bool = False
+) -> StreamingQuery:
+    """Keep a keyed table up to date with each micro-batch's changed results."""
+    return _writer(stream, table.writer(order), checkpoint, name, mode, drain).start()
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 

@@ -51,3 +51,17 @@ def cumulative_totals(
 ) -> DataFrame:
     """Sum, mean and count since the start of the stream; one state row per key."""
     return records.groupBy(*keys).agg(*_totals(value, stamp))
+
+
+def once(
+    records: DataFrame, keys: Sequence[str] = (*KEYS, "date"), stamp: str = "ingested_at", received: str = "kafka_timestamp", lateness: str = "1 day"
+) -> DataFrame:
+    """Each message once, though its producer may have sent it again: equal ``keys`` and equal ``stamp`` are one message.
+
+    A stream remembers a message until the newest stamp is ``lateness`` past it, which bounds its state; a copy that comes
+    later still is late itself and dropped.  A message without a readable stamp counts from when it was received.
+    """
+    timed = records.withColumn("_sent", F.coalesce(F.try_to_timestamp(F.col(stamp)), F.col(received)))
+    if timed.isStreaming:
+        return timed.withWatermark("_sent", lateness).dropDuplicatesWithinWatermark([*keys, stamp]).drop("_sent")
+    return timed.dropDuplicates([*keys, stamp]).drop("_sent")
