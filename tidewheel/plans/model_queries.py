@@ -21,7 +21,6 @@ from tidewheel.models.regression import (
     importances, kept,
 )
 from tidewheel.operators.encode import encode
-from tidewheel.operators.joins import join_same
 from tidewheel.operators.neighbours import feature_vector, nearest_in_group
 from tidewheel.operators.metrics import class_report, clip_low, regression_metrics
 from tidewheel.operators.oversample import oversample
@@ -81,23 +80,17 @@ def smote_counts(spark, folder):
     "smote_neighbours",
     f"""WITH {INDIVIDUALS}, r AS (SELECT CAST(CASE WHEN CarbonEmission < 2500 THEN 0 WHEN CarbonEmission < 5000 THEN 1 ELSE 2 END AS INTEGER) AS label,
       CAST(order_count AS DOUBLE) AS a, CAST(order_total AS DOUBLE) AS b, CAST(largest_order AS DOUBLE) AS c FROM individuals),
-    small AS (SELECT label FROM r GROUP BY 1 ORDER BY COUNT(*), label LIMIT 2),
-    kept AS (SELECT r.* FROM r JOIN small USING (label)),
-    q AS (SELECT DISTINCT label, a, b, c FROM kept),
+    q AS (SELECT DISTINCT label, a, b, c FROM r),
     d AS (SELECT q.*, (q.a - k.a) * (q.a - k.a) + (q.b - k.b) * (q.b - k.b) + (q.c - k.c) * (q.c - k.c) AS d2
-      FROM q JOIN kept k USING (label)),
+      FROM q JOIN r k USING (label)),
     ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY label, a, b, c ORDER BY d2) AS place FROM d)
     SELECT label, ROUND(a, 2) AS a, ROUND(b, 2) AS b, ROUND(c, 2) AS c, COUNT(*) AS n, ROUND(SUM(SQRT(d2)), 1) AS distance
     FROM ranked WHERE place BETWEEN 2 AND 6 GROUP BY ALL""",
 )
 def smote_neighbours(spark, folder):
-    """Exact neighbours in the two smaller classes, with leaves so small that the search crosses them."""
-    rows = labelled_individuals(spark, folder)
-    small = rows.groupBy("label").count().orderBy("count", "label").limit(2)
-    kept_rows = join_same(rows, small.select("label"), ["label"]).select(
-        "label", feature_vector(["order_count", "order_total", "largest_order"]).alias("x")
-    )
-    found = nearest_in_group(kept_rows.withColumn("ask", F.lit(True)), "label", "x", "ask", 5, leaf_rows=32)
+    """Exact neighbours within every class, with leaves so small that the search crosses them."""
+    rows = labelled_individuals(spark, folder).select("label", feature_vector(["order_count", "order_total", "largest_order"]).alias("x"))
+    found = nearest_in_group(rows.withColumn("ask", F.lit(True)), "label", "x", "ask", 5, leaf_rows=32)
     away = F.transform("neighbours", lambda y: F.sqrt(F.aggregate(F.zip_with(y, "x", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)))
     return found.where(F.size("neighbours") > 0).select(
         F.col("label").cast("int").alias("label"), *(F.round(F.get("x", F.lit(i)), 2).alias(c) for i, c in enumerate("abc")),
