@@ -20,12 +20,14 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.sparkContext.setCheckpointDir(folder)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # the setting can't be changed in a running session, so the context remembers the folder
+    if not hasattr(context, "_tidewheel_shared"):
+        context._tidewheel_shared = tempfile.mkdtemp(prefix="run-")
+        context.setCheckpointDir(context._tidewheel_shared)
+    return context._tidewheel_shared
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
