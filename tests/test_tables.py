@@ -9,7 +9,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.sql import functions as F
 
 from tidewheel.models.classify import tertile_label
-from tidewheel.operators import clean, encode, metrics, profile, quantiles, rollup, scale, split
+from tidewheel.operators import clean, encode, lattice, metrics, profile, quantiles, rollup, scale, split
 
 PROBS = {"a": 0.0, "b": 0.25, "c": 1 / 3, "d": 0.5, "e": 0.95, "f": 1.0}
 
@@ -231,3 +231,21 @@ def test_quantiles_count_inside_brackets_only(spark):
     assert tuple(found) == pytest.approx(tuple(np.quantile(values, [0.01, 0.37, 0.99])), abs=0)
     plan = quantiles.exact_quantiles(df, "v", {"b": 0.5})._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_lattice_merges_days_and_levels(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"k": rng.choice(["a", "b", "hot", "hot", "hot"], 900), "d": rng.integers(0, 40, 900), "v": rng.normal(5, 2, 900)})
+    rows = [*map(tuple, pdf.itertuples(index=False)), (None, 1, 2.0), ("a", 1, None), ("empty", 1, None)]
+    df = spark.createDataFrame([(k, int(d), v) for k, d, v in rows], "k string, d long, v double").withColumn("n", F.lit(1))
+    whole = lattice.states(df, ["k", "d"], "v")
+    later = lattice.merged([lattice.states(df.where("d < 20"), ["k", "d"], "v"), lattice.states(df.where("d >= 20 OR d = 3"), ["k", "d"], "v")], ["k", "d"])
+    levels = {"k": [F.col("k")], "week": [F.floor(F.col("d") / 7)], "all": []}
+    got = {(r.rollup, *r["keys"]): r for r in lattice.roll_up(whole, levels).collect()}
+    again = {(r.rollup, *r["keys"]): r for r in lattice.roll_up(later.where("d <> 3"), levels).collect()}
+    own = pdf[pdf.k == "hot"].v
+    r = got["k", "hot"]
+    assert (r.n, r.low, r.high) == (len(own), own.min(), own.max()) and r.mean == pytest.approx(own.mean()) and r.std == pytest.approx(own.std())
+    assert got["k", None].n == 1 and got["k", None].std is None and got["k", "empty"].n == 0 and got["k", "empty"].mean is None
+    assert got["all",].n == 901 and again["week", "5"].total == pytest.approx(got["week", "5"].total)
+    assert set(r.rollup for r in got.values()) == {"k", "week", "all"}

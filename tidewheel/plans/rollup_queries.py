@@ -14,6 +14,7 @@ from tidewheel.operators.clean import (
     slice_or_widen, within,
 )
 from tidewheel.operators.encode import encode, frequency_codes, index_by_frequency
+from tidewheel.operators.lattice import merged, roll_up, states
 from tidewheel.operators.metrics import (
     best_regression, class_report, classification_metrics, classification_table, clip_low, paired_t, regression_table,
 )
@@ -761,3 +762,32 @@ def hash_split_share(spark, folder):
     return both.where(F.col("split") == F.col("again")).agg(
         n.alias("n_same"), (F.abs(F.count_if(F.col("split") == "train") - 0.8 * n) <= 4 * F.sqrt(0.8 * 0.2 * n)).alias("shares_hold")
     )
+
+
+_LEVELS = {
+    "country": "country", "sector": "sector", "country_sector": "country, sector", "year": "EXTRACT(YEAR FROM emission_date)",
+    "month": "EXTRACT(MONTH FROM emission_date)", "all": "",
+}
+_STATES = """COUNT(*) AS n, ROUND(SUM(mtco2_per_day), 1) AS total, ROUND(AVG(mtco2_per_day), 3) AS mean, ROUND(STDDEV_SAMP(mtco2_per_day), 2) AS std,
+    MIN(mtco2_per_day) AS low, MAX(mtco2_per_day) AS high FROM panel"""
+
+
+@query(
+    "lattice_rollups",
+    f"WITH {PANEL} " + " UNION ALL ".join(
+        f"SELECT '{name}' AS rollup, CONCAT_WS('/', {keys or repr('')}) AS keys, {_STATES}{' GROUP BY ' + keys if keys else ''}" for name, keys in _LEVELS.items()
+    ),
+)
+def lattice_rollups(spark, folder):
+    """Six roll-ups from one table of states, to which the last year's days are added as if they had come later."""
+    rows, keys = panel(spark, folder), ["country", "sector", "emission_date"]
+    late = F.year("emission_date") >= 1998
+    lowest = merged([states(rows.where(~late), keys, "mtco2_per_day"), states(rows.where(late), keys, "mtco2_per_day")], keys)
+    levels = {
+        "country": [F.col("country")], "sector": [F.col("sector")], "country_sector": [F.col("country"), F.col("sector")],
+        "year": [F.year("emission_date")], "month": [F.month("emission_date")], "all": [],
+    }
+    found = roll_up(lowest, levels)
+    return found.select(
+        "rollup", F.concat_ws("/", "keys").alias("keys"), "n", F.round("total", 1).alias("total"), F.round("mean", 3).alias("mean"), F.round("std", 2).alias("std"), "low", "high"
+    )
