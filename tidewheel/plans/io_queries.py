@@ -135,6 +135,20 @@ def json_metrics(spark, folder):
     )
 
 
+@query(
+    "csv_metrics",
+    f"""WITH {BLEND}, m AS ({" UNION ALL ".join(_metric_sql(c, n) for c, n in MODELS)})
+    SELECT model_type, mae, rmse, test_samples FROM m""",
+)
+def csv_metrics(spark, folder):
+    """The CSV half of the metric table, read back with its types inferred."""
+    path = run_dir(spark, "metrics")
+    write_metrics(model_records(spark, folder), path)
+    return read_csv(spark, f"{path}/csv").where(F.col("mae").isNotNull()).select(
+        "model_type", F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.col("test_samples").cast("long").alias("test_samples")
+    )
+
+
 @query(
     "model_runs",
     f"""WITH {BLEND}, m AS ({" UNION ALL ".join(_metric_sql(c, n) for c, n in MODELS)})
