@@ -84,7 +84,8 @@ def learn(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text")
     sums = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
-    return sums.withColumn("rank", place - 1).where(F.col("rank") < size).select("lang", "rank", "gram")
+    # a filter on the row number itself lets every task keep its first ones only
+    return sums.withColumn("place", place).where(F.col("place") <= size).select("lang", (F.col("place") - 1).alias("rank"), "gram")
 
 
 class Profiles:
