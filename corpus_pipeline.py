@@ -10,42 +10,74 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import idsets, jaccard_join, langid, mixing, packing, toxicity
-from tidewheel.llm.common import saved, table
+from tidewheel.llm.common import free_name, give_back, saved, table
 
 #: A text less close than this to every learned language is in none of them.
 LEAST_CLOSENESS = 0.25
+#: Words that a worker of the last stage remembers, smaller than by default: executors still hold what earlier stages left.
+KEPT_BYTES = 16 << 20
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts close to no language that the documents' own ``lang`` column teaches."""
-    rated = langid.rate(docs, langid.fit(docs), names=("_lang", "_closeness", "_lead"))
-    return rated.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_closeness") >= LEAST_CLOSENESS)).select(*docs.columns)
+    """Drops texts without a letter and texts close to no language that the documents' own ``lang`` column teaches.
+
+    A null or empty text has no letter.  Every row is judged by its own text; repeated rows stay or go together, and all
+    columns come back as they were, whatever their names.
+    """
+    lang, closeness, lead = (free_name(docs, n) for n in ("_lang", "_closeness", "_lead"))
+    rated = langid.rate(docs, langid.fit(docs), names=(lang, closeness, lead))
+    return rated.where((F.col(lang) != langid.UNKNOWN) & (F.col(closeness) >= LEAST_CLOSENESS)).select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that the compression distance, learned from ``labels``, calls toxic."""
+    """Drops texts that the compression distance, learned from ``labels``, calls toxic.
+
+    Null and empty texts stay where nothing says otherwise.  Every row is judged by its own text; repeated rows stay or go
+    together, and all columns come back as they were, whatever their names.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.rate(docs, model, names=("_score", "_toxic", "_shortening")).where("_toxic = 0").select(*docs.columns)
+    names = tuple(free_name(docs, n) for n in ("_score", "_toxic", "_shortening"))
+    return toxicity.rate(docs, model, names=names).where(F.col(names[1]) == 0).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by shared five-word shingles (similarity 0.8 or more) the one with the smallest id stays."""
-    linked = saved(jaccard_join.link(docs, k=5, percent=80), "linked")
-    dropped = linked.where("doc_id <> component_id").select("doc_id").distinct()
-    return idsets.without(docs, dropped)
+    """Of rows linked by shared five-word shingles (similarity 0.8 or more) one stays: that with the smallest id.
+
+    Rows are told apart by a number of their own, so an id with several texts keeps those that are no copies, and of
+    repeated rows one stays.  A null id comes after all others, equal ids go by a hash of the text, then by number.  Rows
+    without words are linked with nothing and stay.  All columns come back as they were, whatever their names.
+    """
+    row = free_name(docs, "_row")
+    numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    linked = jaccard_join.link(numbered.select(F.col(row).alias("doc_id"), "text"), k=5, percent=80)
+    linked = saved(linked.select(F.col("doc_id").alias("row"), "component_id"), "linked")
+    several = linked.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+    members = linked.join(several, "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), F.col(row).alias("row"))
+    placed = members.join(numbered.select(order.alias("at")), F.col("row") == F.col("at.row")).select("component_id", "at")
+    kept = placed.groupBy("component_id").agg(F.min("at").alias("at"))
+    dropped = members.join(kept.select(F.col("at.row").alias("row")), "row", "left_anti").select(F.col("row").alias(row))
+    return idsets.without(numbered, dropped, row).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every row as often as the mix takes it; a null source is one like any other, and rows without words are not taken.
+
+    Repeated rows are taken each for itself.  All columns come back as they were, whatever their names.
+    """
+    give_back(spark)
     mixed = mixing.mix(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_row"))).where("copies > 0")
     return mixed.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces placed into sequences of 2048."""
+    """Token pieces placed into sequences of 2048; a null text is an empty one, repeated rows are packed each for itself."""
     import public_tokenizers
 
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    give_back(spark)
+    packed = packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), kept_bytes=KEPT_BYTES))
+    give_back(spark)
+    return packed
 
 
 STAGES = [

@@ -92,8 +92,9 @@ def test_model_scores(spark, order, shard):
     assert all(len(level.paths) > 1 for level in trie.levels) or shard > 10_000
     for r in lm.score(df, trie).collect():
         assert r.base_score == pytest.approx(base[r.doc_id])
-        # eight bits per probability: half a step of 7 / 254 decades at most, on either of two terms
-        assert abs(r.score - full[r.doc_id]) <= 0.5 * lm.FLOOR / 254 * r.n_tokens * (order - 1) + 0.01
+        # sixteen bits per probability, rounded down: less than a step on either of two terms
+        step = max(level.decades for level in trie.levels) / (lm.STEPS - 1)
+        assert abs(r.score - full[r.doc_id]) <= 2 * step * r.n_tokens * (order - 1) + 1e-6
 
 
 def test_model_query(spark):
@@ -364,6 +365,23 @@ def test_pipeline_stages(spark):
     assert Counter(r.doc_id for r in docs.where("piece = 0").collect()) == ids
 
 
+def test_copies_are_dropped_by_rows(spark):
+    a, b, c = (" ".join(f"{x}{n}" for n in range(40)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (None, a), (5, c), (5, c), (None, "only here it stands in the table"), (None, None), (7, ""), (7, "")]
+    docs = spark.createDataFrame([(i, t, n, -1) for n, (i, t) in enumerate(rows)], "doc_id long, text string, _row int, component_id int")
+    got = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
+    assert got.columns == docs.columns
+    kept = Counter((r.doc_id, r.text) for r in got.collect())
+    assert kept == Counter([(1, a), (2, b), (5, c), *rows[6:]]) and all(r.component_id == -1 for r in got.collect())
+
+
+def test_stages_keep_clashing_columns(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60).withColumns({n: F.lit("x") for n in ("_lang", "_closeness", "_lead", "_score", "_toxic", "_shortening", "_row", "copies")})
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == docs.columns and {tuple(r)[5:] for r in after.collect()} == {("x",) * 8}
+
+
 def test_pipeline_runs_empty(spark, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{FOLDER}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import time
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +62,33 @@ def worker_cache() -> dict:
     return cache
 
 
+def give_back(spark: SparkSession) -> None:
+    """Have idle Python workers empty their caches and return free memory to the system.
+
+    A stage without Python doesn't claim it, and would share an executor with what earlier stages have left behind.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            claim()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not glibc
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            time.sleep(0.05)  # keeps this worker busy, so that the next task takes another one
+            yield batch
+
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).mapInArrow(run, "id long").count()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, behind as many underscores as it takes to be no column of ``df``."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def claim(own: dict | None = None) -> None:
     """Empty what other operators keep in this worker process: a pipeline's stages follow each other in one worker."""
     for cache in _caches:
