@@ -96,6 +96,16 @@ def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarr
     return keys[first], np.add.reduceat(counts, first)
 
 
+def distinct_places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order and which each is: by a table where they lie close together, else by sorting."""
+    if not len(values) or int(values.max()) - int(values.min()) > 8 * len(values):
+        return np.unique(values, return_inverse=True)
+    low = int(values.min())
+    seen = np.zeros(int(values.max()) - low + 1, bool)
+    seen[values - low] = True
+    return np.flatnonzero(seen) + low, (np.cumsum(seen) - 1)[values - low]
+
+
 def _blob(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """Keys as differences and counts, in few bytes."""
     import zstandard
@@ -162,17 +172,18 @@ class Reader:
             if a < b:
                 yield i, slice(a, b)
 
-    def find(self, number: int, keys: np.ndarray, column: str) -> tuple[np.ndarray, np.ndarray]:
-        """For rising distinct keys of a level: the number of each (or -1), and its value in ``column``."""
+    def find(self, number: int, keys: np.ndarray, column: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For rising distinct keys of a level: the number of each (or -1), and its value in ``column`` (none: zero)."""
         level = self.trie.levels[number]
         places, values = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
         for i, own in self._by_shard(level, keys):
             arrays, sequence, _ = self.shard(level.paths[i])
             at, there = sequence.find(keys[own] - level.bounds[i])
             places[own] = np.where(there, at + level.offsets[i], -1)
-            found = np.zeros(len(at), np.int64)
-            found[there] = arrays[column][at[there]]
-            values[own] = found
+            if column:
+                found = np.zeros(len(at), np.int64)
+                found[there] = arrays[column][at[there]]
+                values[own] = found
         return places, values
 
     def weights(self, number: int, contexts: np.ndarray) -> np.ndarray:
@@ -196,21 +207,23 @@ class Reader:
         numbers, counts = self.find(0, distinct, "count")
         return numbers[place], counts[place]
 
-    def grams(self, word: np.ndarray, upto: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    def grams(self, word: np.ndarray, upto: int, column: str | None = None) -> Iterator[tuple]:
         """Level by level from the second: the context of each token (-1: none), and the n-grams that tokens make.
 
         ``word`` numbers the tokens (-1: unknown), each text closed by the end mark; the first follows an end.  Yields the
-        level, contexts, tokens with a context and a known word, their distinct keys, and which key each has.
+        level, contexts, tokens with a context and a known word, their distinct keys, which key each has, and the keys'
+        values in ``column``; each key is searched once.
         """
         before = np.append(self.end, word[:-1])
         context = before.copy()
         for number in range(1, upto + 1):
             own = np.flatnonzero((context >= 0) & (word >= 0))
-            keys, back = np.unique(context[own] * self.trie.words + word[own], return_inverse=True)
-            yield number, context, own, keys, back
+            keys, back = distinct_places(context[own] * self.trie.words + word[own])
+            places, values = self.find(number, keys, column) if column or number < upto else (None, None)
+            yield number, context, own, keys, back, values
             if number < upto:
                 longer = np.full(len(word), -1, np.int64)
-                longer[own] = self.find(number, keys, "count")[0][back]
+                longer[own] = places[back]
                 # the next context ends with the token before; nothing reaches back over an end
                 context = np.append(-1, longer[:-1])
                 context[before == self.end] = -1
@@ -257,7 +270,7 @@ def _dealt(docs: DataFrame, trie: Trie | None, number: int, bounds: np.ndarray)
                 held.append((distinct[counts > 0], counts[counts > 0]))
             else:
                 reader = _reader(trie)
-                for level, _, _, keys, back in reader.grams(reader.numbers(distinct, place)[0], number):
+                for level, _, _, keys, back, _ in reader.grams(reader.numbers(distinct, place)[0], number):
                     if level == number:
                         held.append((keys, np.bincount(back, minlength=len(keys))))
             if sum(len(k) for k, _ in held) > HELD_KEYS:
@@ -293,7 +306,7 @@ def train(docs: DataFrame, order: int = 2, shard_tokens: int = SHARD_TOKENS) ->
     few numbers per shard.
     """
     spark = docs.sparkSession
-    bounded_batches(spark, "8m")
+    bounded_batches(spark, "6m")
     docs = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     folder = run_dir(spark, "trie")
     size = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
@@ -420,11 +433,11 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
             base = np.log10((count + 1) / (trie.total + trie.words + 1))
             # a word never seen is one outcome; from every context it gets what that leaves to shorter ones
             p = np.where(word >= 0, count / max(1, trie.total) * (1 - rare), rare) if trie.total else np.ones(len(word))
-            for number, context, own, keys, back in reader.grams(word, len(trie.levels) - 1) if trie.total else ():
+            for number, context, own, _, back, shares in reader.grams(word, len(trie.levels) - 1, "share") if trie.total else ():
                 given = np.flatnonzero(context >= 0)
-                contexts, of = np.unique(context[given], return_inverse=True)
+                contexts, of = distinct_places(context[given])
                 p[given] *= reader.weights(number, contexts)[of]
-                p[own] += probabilities(reader.find(number, keys, "share")[1], trie.levels[number].decades)[back]
+                p[own] += probabilities(shares, trie.levels[number].decades)[back]
             text = np.repeat(np.arange(len(sizes)), sizes)
             sums = [np.bincount(text, weights=x, minlength=len(sizes)) for x in (base, np.log10(np.minimum(p, 1.0)))]
             known = np.bincount(text, weights=count > 0, minlength=len(sizes)).astype(np.int64)
@@ -433,6 +446,6 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
                 ["doc_id", "n_tokens", "n_known", "base_score", "score"],
             )
 
-    bounded_batches(docs.sparkSession, "8m")
+    bounded_batches(docs.sparkSession, "6m")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SCORED)
 
