@@ -9,7 +9,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.sql import functions as F
 
 from tidewheel.models.classify import tertile_label
-from tidewheel.operators import clean, encode, lattice, metrics, profile, quantiles, rollup, scale, split
+from tidewheel.operators import clean, encode, joins, lattice, metrics, profile, quantiles, rollup, scale, split
 
 PROBS = {"a": 0.0, "b": 0.25, "c": 1 / 3, "d": 0.5, "e": 0.95, "f": 1.0}
 
@@ -233,6 +233,24 @@ def test_quantiles_count_inside_brackets_only(spark):
     assert "Join" not in plan
 
 
+@pytest.mark.parametrize("most", [100_000, 1])
+def test_rows_of_hot_groups_are_not_sorted(spark, monkeypatch, most):
+    monkeypatch.setattr(joins, "BROADCAST_GROUPS", most)
+    rows = [(k, float(i)) for k in ("a", None, "a", "b") for i in range(101)] + [("c", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = quantiles.exact_quantiles(df, "v", {"m": 0.5}, ["k"])
+        coded = encode.encode(df, ["k"])
+        plans = [d._jdf.queryExecution().executedPlan().toString() for d in (found, coded)]
+        assert {r.k: r.m for r in found.collect()} == {"a": 50, None: 50, "b": 50}
+        assert {(r.k, r.k_encoded) for r in coded.collect()} == {("a", 0), ("b", 1), ("c", 2), (None, None)} and coded.count() == len(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
+        assert "SortMergeJoin" not in plan and ("BroadcastHashJoin" if most > 1 else "ShuffledHashJoin") in plan
+
+
 def test_lattice_merges_days_and_levels(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"k": rng.choice(["a", "b", "hot", "hot", "hot"], 900), "d": rng.integers(0, 40, 900), "v": rng.normal(5, 2, 900)})

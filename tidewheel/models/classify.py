@@ -14,7 +14,7 @@ from tidewheel.models import boosting
 from tidewheel.models.boosting import Boosted, Settings
 from tidewheel.models.regression import kept
 from tidewheel.operators.encode import encode, ordered_codes
-from tidewheel.operators.joins import join_same
+from tidewheel.operators.joins import join_groups
 from tidewheel.operators.oversample import oversample
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles
 from tidewheel.operators.split import hash_split
@@ -54,7 +54,7 @@ def prepare(df: DataFrame, target: str | None = None, max_classes: int = 20) ->
         labelled = df.withColumn("_label", F.col(target).cast("int"))
     else:
         codes = ordered_codes(df, target, "_label").withColumn("_label", F.col("_label").cast("int"))
-        labelled = join_same(df, codes, [target], "left")
+        labelled = join_groups(df, codes, [target], "left")
     # the target may be called label itself
     labelled = labelled.drop(target).withColumnRenamed("_label", "label")
     text = [f.name for f in labelled.schema.fields if f.dataType.typeName() == "string"]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.operators.joins import join_same
+from tidewheel.operators.joins import join_groups
 from tidewheel.operators.ordering import positions
 from tidewheel.session import shared_dir
 
@@ -46,7 +46,7 @@ def encode(
         of_column = codes.where(F.col("column") == c).select(
             F.col("value").cast(df.schema[c].dataType).alias(c), F.col("code").alias(f"{c}{suffix}")
         )
-        df = join_same(df, of_column, [c], "left")
+        df = join_groups(df, of_column, [c], "left")
     return df
 
 
@@ -61,4 +61,4 @@ def index_by_frequency(train: DataFrame, df: DataFrame, column: str, name: str)
     """Codes learnt from ``train``; values not seen there (and null) get the next code after the last one."""
     codes = frequency_codes(train, column, name)
     unseen = train.agg(F.count_distinct(column).alias("n")).scalar()
-    return join_same(df, codes, [column], "left").withColumn(name, F.coalesce(F.col(name), unseen))
+    return join_groups(df, codes, [column], "left").withColumn(name, F.coalesce(F.col(name), unseen))

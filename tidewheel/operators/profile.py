@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.operators.clean import WHISKER
-from tidewheel.operators.joins import join_same
+from tidewheel.operators.joins import join_groups
 from tidewheel.operators.quantiles import approx_quantiles, exact_quantiles
 
 
@@ -105,8 +105,7 @@ def box_plot(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     v = F.col(value)
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     inside = v.between(F.col("q1") - reach, F.col("q3") + reach)
-    # one row per group on the right: broadcast where that is small, split by adaptive execution where a group is hot
-    joined = join_same(df.where(v.isNotNull()).select(*by, value), quartiles, by)
+    joined = join_groups(df.where(v.isNotNull()).select(*by, value), quartiles, by)
     return joined.groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),

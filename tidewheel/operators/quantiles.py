@@ -9,7 +9,7 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.operators.joins import join_same
+from tidewheel.operators.joins import join_groups
 
 
 def exact_quantiles(
@@ -26,7 +26,7 @@ def exact_quantiles(
     edges = [min(1.0, max(0.0, float(p) + side)) for p in sorted(probs.values()) for side in (-margin, margin)]
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
     cuts = rows.groupBy(*by).agg(F.percentile_approx("_v", edges, accuracy).alias("_c"))
-    placed = join_same(rows, cuts, by) if by else rows.withColumn("_c", cuts.select("_c").scalar())
+    placed = join_groups(rows, cuts, by) if by else rows.withColumn("_c", cuts.select("_c").scalar())
     at = [F.get("_c", F.lit(i)) for i in range(len(edges))]
     inside = reduce(or_, (F.col("_v").between(low, high) for low, high in zip(at[::2], at[1::2])))
     gap = reduce(add, ((F.col("_v") > high).cast("int") for high in at[1::2]))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.operators.joins import join_same
+from tidewheel.operators.joins import join_groups
 
 
 def fit_min_max(train: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -27,7 +27,7 @@ def fit_standard(train: DataFrame, columns: Sequence[str], by: Sequence[str] = (
 def attach(df: DataFrame, fitted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Put fitted statistics next to every row: a scalar subquery for one row, an equi-join for grouped ones."""
     if by:
-        return join_same(df, fitted, by)
+        return join_groups(df, fitted, by)
     return df.withColumn("_fit", fitted.select(F.struct(*fitted.columns).alias("f")).scalar()).select(
         *df.columns, "_fit.*"
     )

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.operators.joins import join_same
+from tidewheel.operators.joins import join_groups
 from tidewheel.operators.ordering import positions, running_totals
 from tidewheel.panel import Panel
 from tidewheel.session import shared_dir
@@ -58,7 +58,7 @@ def global_split(
         shared_dir(df.sparkSession)
         sizes = df.groupBy(*panel.keys).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
         starts = running_totals(sizes, panel.keys, {"_start": F.col("_n")}, group_totals=True).drop("_n")
-        placed = join_same(with_series_position(df, panel, "_p"), starts, panel.keys)
+        placed = join_groups(with_series_position(df, panel, "_p"), starts, panel.keys)
         placed = placed.withColumns({"_p": F.col("_p") + F.col("_start"), "_p_total": F.col("_start_total")})
     else:
         placed = positions(df, panel.order, (), "_p", group_size=True)
