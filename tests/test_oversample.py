@@ -30,6 +30,25 @@ def test_neighbours_match_brute_force(spark, leaf_rows, copies):
             assert np.allclose(((near - p) ** 2).sum(axis=1), want), (g, p)
 
 
+@pytest.mark.parametrize("cell_rows", [12, 40])
+def test_search_crosses_cells(spark, cell_rows):
+    """Points of a grid, so that many lie equally far away, in many cells; a null group, and vectors that take no part."""
+    rng = np.random.default_rng(cell_rows)
+    groups = {"grid": rng.integers(0, 9, (400, 3)).astype(float), None: rng.normal(size=(90, 3)), "few": rng.normal(size=(3, 3))}
+    rows = [(g, [float(x) for x in p]) for g, pts in groups.items() for p in pts]
+    odd = [("grid", [1.0, None, 1.0]), ("grid", [1.0, float("nan"), 1.0]), ("grid", [float("inf"), 0.0, 0.0])]
+    df = spark.createDataFrame(rows + odd, "g string, x array<double>").withColumn("q", F.lit(True))
+    out = nearest_in_group(df, "g", "x", "q", 5, 10, cell_rows=cell_rows).collect()
+    found = {(r.g, tuple(r.x)): r.neighbours for r in out}
+    assert len(found) == len(out) == len({(g, tuple(x)) for g, x in rows + odd})
+    assert all(found.pop((g, tuple(x))) == [] for g, x in odd[::2])
+    for g, pts in groups.items():
+        for i, p in enumerate(pts):
+            others = np.delete(pts, i, axis=0)
+            order = np.lexsort((*others.T[::-1], ((others - p) ** 2).sum(axis=1)))[:5]
+            assert found[g, tuple(p)] == others[order].tolist(), (g, p)
+
+
 def test_only_wanted_rows_are_answered(spark):
     df = spark.createDataFrame([("a", [float(i)], i == 3) for i in range(9)], "g string, x array<double>, q boolean")
     out = nearest_in_group(df, "g", "x", "q", 2).collect()
