@@ -349,6 +349,15 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
 
 
+def test_toxic_stretches_that_begin_alike():
+    """Each stands in the dictionary, so each has to shorten its words, whichever others begin with the same letters."""
+    stretches = [f" ve{c}u" for c in "abcdfgjlmpqrst"]
+    base = b" ".join(b"%d ordinary words" % n for n in range(200))
+    toxic = base + b"".join(toxicity.START + s.encode() for s in stretches)
+    distance = toxicity.Distance(toxicity.Model(base, toxic, base, (0.0,) * 11))
+    assert all(distance.of(s.strip() + "xyz") & 255 >= 4 for s in stretches)
+
+
 def test_toxicity_edges(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame([(4, 1), (4, 0), (6, 0), (8, None), (None, 1)], "doc_id long, toxic int")

@@ -39,6 +39,10 @@ PAD = bytes([0, 1, 2, 3, 4, 5, 6, 7, 8, 11, 12, 14, 15, 16, 17, 18])
 #: Stands before every word, and before every stretch in the toxic dictionaries: a match from a word's start is longer by it.
 START = b"\x19\x1a"
 LEVEL = 1
+#: The fast search of level 1 remembers one place for each beginning, so of two stretches that begin alike one was never
+#: found.  This one looks at ``2 ** SEARCH_LOG`` places, as many as there are stretches, and takes the longest match; the
+#: shortest one, ``MIN_MATCH`` bytes, is that of ``START`` and the shortest stretch.
+SEARCH, SEARCH_LOG, MIN_MATCH = zstandard.STRATEGY_GREEDY, 8, 6
 THRESHOLD = 0.3
 #: Bytes of shortening at which words are counted.
 STEPS = (3, 4, 5, 6)
@@ -73,7 +77,8 @@ class Distance:
         content += PAD
         dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         settings = zstandard.ZstdCompressionParameters.from_level(
-            LEVEL, source_size=256, dict_size=len(content), write_checksum=0, write_content_size=0, write_dict_id=0
+            LEVEL, source_size=256, dict_size=len(content), strategy=SEARCH, search_log=SEARCH_LOG, min_match=MIN_MATCH,
+            write_checksum=0, write_content_size=0, write_dict_id=0,
         )
         dictionary.precompute_compress(compression_params=settings)
         return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=settings)
