@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm import idsets, jaccard_join, langid, mixing, packing, toxicity
-from tidewheel.llm.common import free_name, give_back, saved, table
+from tidewheel.llm.common import bounded_batches, free_name, give_back, saved, table
 
 #: A text less close than this to every learned language is in none of them.
 LEAST_CLOSENESS = 0.25
 #: Words that a worker of the last stage remembers, smaller than by default: executors still hold what earlier stages left.
 KEPT_BYTES = 16 << 20
+#: Bytes of rows that workers take at a time, fewer than by default for the same reason.
+BATCH = "1m"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,6 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     lang, closeness, lead = (free_name(docs, n) for n in ("_lang", "_closeness", "_lead"))
     rated = langid.rate(docs, langid.fit(docs), names=(lang, closeness, lead))
+    bounded_batches(spark, BATCH)  # holds when the result is read
     return rated.where((F.col(lang) != langid.UNKNOWN) & (F.col(closeness) >= LEAST_CLOSENESS)).select(*docs.columns)
 
 
@@ -37,7 +40,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     names = tuple(free_name(docs, n) for n in ("_score", "_toxic", "_shortening"))
-    return toxicity.rate(docs, model, names=names).where(F.col(names[1]) == 0).select(*docs.columns)
+    rated = toxicity.rate(docs, model, names=names)
+    bounded_batches(spark, BATCH)  # holds when the result is read
+    return rated.where(F.col(names[1]) == 0).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +54,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     row = free_name(docs, "_row")
     numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    linked = jaccard_join.link(numbered.select(F.col(row).alias("doc_id"), "text"), k=5, percent=80)
+    linked = jaccard_join.link(numbered.select(F.col(row).alias("doc_id"), "text"), k=5, percent=80, batch=BATCH)
     linked = saved(linked.select(F.col("doc_id").alias("row"), "component_id"), "linked")
     several = linked.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
     members = linked.join(several, "component_id")
@@ -75,7 +80,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     import public_tokenizers
 
     give_back(spark)
-    packed = packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), kept_bytes=KEPT_BYTES))
+    packed = packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), kept_bytes=KEPT_BYTES, batch=BATCH))
     give_back(spark)
     return packed
 

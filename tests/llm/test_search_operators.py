@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.test_text_operators import ODD, WORDS, check_packed, odd_docs, texts
 from tidewheel.llm import components, curves, idsets, jaccard_join, lm, queries
+from tidewheel.llm.common import BATCH_BYTES, bounded_batches, claim, worker_cache
 from tidewheel.llm.elias_fano import EliasFano, load, pack, save
 from tidewheel.session import run_dir
 
@@ -365,6 +367,33 @@ def test_pipeline_stages(spark):
     assert Counter(r.doc_id for r in docs.where("piece = 0").collect()) == ids
 
 
+def test_pipeline_workers_take_small_batches(spark, monkeypatch):
+    class Measured:
+        def ids(self, texts):
+            return [np.ones(texts.nbytes >> 16, "<u4")] * len(texts)
+
+    docs = spark.createDataFrame([(n, "en", "s", "w" * 100_000, 100_000) for n in range(60)], "doc_id long, lang string, source string, text string, n_chars int")
+    monkeypatch.setattr(corpus_pipeline.packing, "encoder", lambda path, most: Measured())
+    lengths = [r.length for r in corpus_pipeline.pack_sequences(spark, docs.coalesce(1), FOLDER).collect()]
+    assert len(lengths) == 60 and max(lengths) <= 20
+    for stage in (corpus_pipeline.identify_language, corpus_pipeline.drop_toxic, corpus_pipeline.drop_near_copies):
+        bounded_batches(spark)
+        stage(spark, docs.limit(2), FOLDER)
+        assert spark.conf.get(BATCH_BYTES) == corpus_pipeline.BATCH
+
+
+def test_workers_give_memory_back():
+    def held():
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) >> 10
+
+    cache = worker_cache()
+    cache["texts"] = [bytes([n % 256]) * 4000 for n in range(50_000)]
+    some = cache["texts"][::-1000]  # the last among them, so that nothing is given back without being asked to
+    full = held()
+    claim()
+    assert not cache and some and held() < full - 150
+
+
 def test_copies_are_dropped_by_rows(spark):
     a, b, c = (" ".join(f"{x}{n}" for n in range(40)) for x in "abc")
     rows = [(1, a), (2, a), (2, b), (None, a), (5, c), (5, c), (None, "only here it stands in the table"), (None, None), (7, ""), (7, "")]

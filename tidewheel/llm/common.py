@@ -70,11 +70,8 @@ def give_back(spark: SparkSession) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            claim()
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # not glibc
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            claim()
             time.sleep(0.05)  # keeps this worker busy, so that the next task takes another one
             yield batch
 
@@ -90,7 +87,13 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def claim(own: dict | None = None) -> None:
-    """Empty what other operators keep in this worker process: a pipeline's stages follow each other in one worker."""
+    """Empty what other operators keep in this worker process: a pipeline's stages follow each other in one worker.
+
+    What they and earlier tasks have freed goes back to the system, so that a worker holds no more than its own task's peak.
+    """
     for cache in _caches:
         if cache is not own:
             cache.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

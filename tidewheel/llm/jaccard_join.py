@@ -405,15 +405,15 @@ def _crowds(placed: DataFrame, met: DataFrame, docs: DataFrame, k: int, percent:
     return dealt.groupBy("p", "q", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
 
 
-def link(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+def link(docs: DataFrame, k: int = K, percent: int = PERCENT, batch: str = "4m") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id, text``).
 
     Documents whose sets have ``100 * intersection >= percent * union`` are linked, and ``component_id`` is the smallest
     id reachable by links.  Null and empty texts have size 0 and stay alone.  Repeated rows are equal sets like any
     other; a row without id takes part, and a component of only such rows has none.  Other columns are not read; an empty
-    table gives an empty one.
+    table gives an empty one.  Workers take about ``batch`` bytes of rows at a time.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, batch)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     raw = saved(_described(docs, frequent_tokens(docs, k, 1.4 * (100 - percent) / 100), k, percent), "described")
     some = raw.where("n > 0")

@@ -156,12 +156,13 @@ def encoder(path: str, most: int = KEPT_BYTES) -> WordEncoder | TextEncoder:
     return _encoders[(path, most)]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, kept_bytes: int = KEPT_BYTES) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, kept_bytes: int = KEPT_BYTES, batch: str = "4m") -> DataFrame:
     """One row per piece: the ids of the text and ``end_id``, cut every ``capacity`` ids.
 
     ``tokenizer`` is the path of a ``tokenizers`` file that every executor can open; a worker remembers about twice
-    ``kept_bytes`` of words, which changes its speed only.  A null text counts as empty and gives one piece of one id.
-    Repeated rows give repeated pieces.  Other columns aren't read; an empty table gives an empty one.
+    ``kept_bytes`` of words and takes about ``batch`` bytes of text at a time, which changes its speed and memory only.  A
+    null text counts as empty and gives one piece of one id.  Repeated rows give repeated pieces.  Other columns aren't read;
+    an empty table gives an empty one.
     """
     import zlib
 
@@ -184,7 +185,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
                 [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"]
             )
 
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, batch)
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(cut, PIECES)
 
