@@ -227,6 +227,45 @@ def test_groups(spark, monkeypatch, k, percent, few, block, frequent):
     assert got == brute_groups(rows, k, percent)
 
 
+def phrases():
+    """Documents of phrases that many have, hardly any two alike, and clusters with more edits than links allow."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    lines = [" ".join(rng.choice(words) for _ in range(7)) for _ in range(12)]
+    rows = [(i, " ".join(rng.choice(lines) for _ in range(14))) for i in range(150)]
+    for _ in range(2):
+        base = [rng.choice(words) for _ in range(110)]
+        for _ in range(75):
+            own = list(base)
+            for _ in range(rng.randint(0, 12)):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            rows.append((len(rows), " ".join(own)))
+    return rows
+
+
+def test_whole_sets_move_a_few_times(spark, monkeypatch):
+    for name, n in (("FEW", 2), ("FREQUENT", 2), ("BLOCK", 16)):
+        monkeypatch.setattr(jaccard_join, name, n)
+    monkeypatch.setattr(jaccard_join, "MEMBERS", 24, raising=False)
+    moved, block_links = spark.sparkContext.accumulator(0), jaccard_join._block_links
+
+    def counted(percent):
+        links = block_links(percent)
+
+        def run(block):
+            moved.add(sum(map(len, block["tokens"])))
+            return links(block)
+
+        return run
+
+    monkeypatch.setattr(jaccard_join, "_block_links", counted)
+    rows = phrases()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in jaccard_join.link(df).collect())
+    assert got == brute_groups(rows, 3, 90)
+    assert moved.value <= 3 * sum(n for _, n, _ in got)
+
+
 def test_join_query(spark):
     got = Counter(tuple(r) for r in queries.QUERIES["op10_jaccard_join"](spark, FOLDER).collect())
     assert got == brute_groups(texts(), 3, 90)
@@ -264,6 +303,19 @@ def test_overlap_bound_is_safe():
         assert bound >= len(np.intersect1d(a, b))
 
 
+def test_fine_overlap_bounds_are_safe():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 62, 3000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, rng.integers(1, top))) for top in (20, 300, 3000) for _ in range(12)]
+    # many tokens of one bucket: counts of two bytes
+    sets += [np.arange(n, dtype=np.uint64) << np.uint64(12) for n in (90, 300, 70_000)]
+    sketches = jaccard_join._Sketches(np.array([len(s) for s in sets]), [jaccard_join.fine_sketch(s) for s in sets])
+    i, j = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    bounds = jaccard_join.overlap_bounds(sketches, i, sketches, j)
+    for a, b, bound in zip(i.tolist(), j.tolist(), bounds.tolist()):
+        assert len(np.intersect1d(sets[a], sets[b])) <= bound <= min(len(sets[a]), len(sets[b]))
+
+
 # neighbours
 
 

@@ -6,10 +6,11 @@ equal size and prefix form a group, and only groups meet: under each prefix toke
 filtered by size and by a bound on the overlap from small counting sketches; what passes is verified on whole sets.
 
 Dense neighbourhoods aren't enumerated.  Where few groups share a token, all pairs are tried; where many do, each is
-tried against a centre of its size first.  Links found so far make components.  Sets in long lists then meet in crowds,
-by blocks of bounded size that compare whole sets, unless one component holds them all; a block returns only links that
-join components.  No pair of different components is left untried, so the result is exact up to collisions of 64-bit
-hashes.
+tried against a centre of its size, and whole sets of a long list against each other in blocks of bounded size, every set
+in two blocks.  Links found so far make components.  Then all pairs of a long list meet that are in different components,
+but only by finer sketches; whole sets move again for those whose sketches still allow the similarity, to blocks that
+return only links that join components.  No pair of different components is left untried, so the result is exact up to
+collisions of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,8 +35,11 @@ K, PERCENT = 3, 90
 #: A token in the first part (by hash) of more sets than this goes to the end of the order; so many such tokens at most,
 #: the most frequent ones.  The order decides speed, never the result.
 FREQUENT, MOST_FREQUENT = 16, 1 << 20
-#: Groups under a token up to which all pairs are tried at once; sets of one side of a block.
-FEW, BLOCK = 16, 512
+#: Groups under a token up to which all pairs are tried at once; whole sets, and sketches, of one side of a block.
+FEW, BLOCK, MEMBERS = 16, 512, 2048
+#: Tokens in a bucket of a fine sketch, at most; lists of a set that are its homes, the longest ones, and those of them in
+#: which whole sets are tried at once.
+FINE, HOMES, TRIED = 3, 4, 2
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -109,6 +113,52 @@ def overlap_bound(n: int, a: np.ndarray, m: int, b: np.ndarray) -> int:
     return int(np.minimum(a, b).sum())
 
 
+def _fine_buckets(n: int) -> int:
+    return min(1 << 12, max(64, 1 << (n // FINE).bit_length()))
+
+
+def fine_sketch(tokens: np.ndarray) -> bytes:
+    """Like :func:`sketch`, with more buckets: it tells sets apart that are nearly as alike as asked."""
+    b = _fine_buckets(len(tokens))
+    counts = np.bincount((tokens & np.uint64(b - 1)).astype(np.int64), minlength=b)
+    return counts.astype(next(t for t in ("<u1", "<u2", "<u4") if counts.max() <= np.iinfo(t).max)).tobytes()
+
+
+class _Sketches:
+    """The fine sketches of some sets, as matrices of equally many buckets."""
+
+    def __init__(self, n: np.ndarray, data: list[bytes]) -> None:
+        self.buckets = np.array([_fine_buckets(int(x)) for x in n], np.int64)
+        self.data = data
+        self.kind = np.min_scalar_type(int(n.max(initial=0)))  # no count is larger
+        self.matrices: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def at(self, buckets: int, rows: np.ndarray) -> np.ndarray:
+        """Counts of ``rows``, none of which has fewer ``buckets``."""
+        if buckets not in self.matrices:
+            has = np.flatnonzero(self.buckets >= buckets)
+            counts = np.zeros((len(has), buckets), self.kind)
+            for at, i in enumerate(has):
+                own = np.frombuffer(self.data[i], f"<u{len(self.data[i]) // self.buckets[i]}")
+                counts[at] = own.reshape(-1, buckets).sum(axis=0, dtype=self.kind)
+            place = np.full(len(self.data), -1)
+            place[has] = np.arange(len(has))
+            self.matrices[buckets] = place, counts
+        place, counts = self.matrices[buckets]
+        return counts[place[rows]]
+
+
+def overlap_bounds(a: _Sketches, i: np.ndarray, b: _Sketches, j: np.ndarray) -> np.ndarray:
+    """At least the sizes of the intersections of the sets ``i`` of ``a`` and ``j`` of ``b``, pair by pair."""
+    out = np.zeros(len(i), np.int64)
+    buckets = np.minimum(a.buckets[i], b.buckets[j])
+    for width in np.unique(buckets).tolist():
+        at = np.flatnonzero(buckets == width)
+        for own in np.array_split(at, -(-len(at) * width // (1 << 20))):
+            out[own] = np.minimum(a.at(width, i[own]), b.at(width, j[own])).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _enough(overlap, n, m, percent: int):
     """Whether ``overlap / union >= percent / 100``."""
     return (100 + percent) * overlap >= percent * (n + m)
@@ -319,9 +369,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     return saved(both.where(alike).select("a", "b"), "links")
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all sets of ``left`` with all of ``right``, as products of incidence matrices."""
-    sets = [*left, *right]
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``left`` with all of ``right``, or else of ``left``, as products of
+    incidence matrices."""
+    sets = [*left, *(right or ())]
     distinct, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     shared = times[column] > 1
@@ -329,26 +380,32 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     row, column = row[shared], number[column[shared]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out = np.zeros((len(left), len(right)), np.float32)
+    others = slice(0 if right is None else len(left), None)
+    out = np.zeros((len(left), len(sets[others])), np.float32)
     width = 4096
     for start in range(0, int((times > 1).sum()), width):
         a, b = np.searchsorted(column, [start, start + width])
         part = np.zeros((len(sets), width), np.float32)
         part[row[a:b], column[a:b] - start] = 1
-        out += part[: len(left)] @ part[len(left) :].T
+        out += part[: len(left)] @ part[others].T
     return out
 
 
 def _block_links(percent: int):
-    """Links between the two sides of a block that join components which nothing in the block has joined yet."""
+    """Links between the two sides of a block that join components which nothing in the block has joined yet.
+
+    A block without ``left`` is one of sets that are compared with each other.
+    """
 
     def links(block: pd.DataFrame) -> pd.DataFrame:
-        xs, ys = block[block["left"]], block[~block["left"]]
+        sided = "left" in block
+        xs, ys = (block[block["left"]], block[~block["left"]]) if sided else (block, block)
         found: list[tuple[int, int]] = []
         c_x, c_y = xs["component"].to_numpy(), ys["component"].to_numpy()
         if len(xs) and len(ys) and (c_x.min() != c_y.max() or c_x.max() != c_y.min()):
             n_x, n_y = xs["tokens"].map(len).to_numpy(), ys["tokens"].map(len).to_numpy()
-            alike = _enough(overlaps(list(xs["tokens"]), list(ys["tokens"])), n_x[:, None], n_y[None, :], percent)
+            common = overlaps(list(xs["tokens"]), list(ys["tokens"]) if sided else None)
+            alike = _enough(common, n_x[:, None], n_y[None, :], percent)
             v_x, v_y = xs["node"].to_numpy(), ys["node"].to_numpy()
             parent: dict[int, int] = {}
 
@@ -367,42 +424,116 @@ def _block_links(percent: int):
     return links
 
 
-def _crowds(placed: DataFrame, met: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links between components that the first round left apart, where sets lie too dense to try all pairs there.
+def _lists(met: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``list, group`` of the lists in which sets of groups still have to meet, and the ``homes`` of each ``group``.
 
-    Every group belongs to one crowd: the longest list of groups under a token that it is in, or else itself.  Two crowds
-    meet if members of theirs share a token, and a crowd meets itself.  Whole sets are compared in blocks, once for each
-    two crowds that meet, unless all their members are in one component already; of the links found a block returns
-    those that join something.
+    They are the long lists of groups under a token; groups of several sets in none of these, whose sets meet each other;
+    and two groups that met under a short list, if one has several sets, as only their first sets have been compared.
+    """
+    long_lists = met.where("b IS NULL").select(F.col("token").alias("list"), F.col("a").alias("group"))
+    sizes = long_lists.groupBy("list").agg(F.count("*").alias("m"))
+    ordered = F.sort_array(F.collect_list(F.struct("m", "list")), asc=False)  # as many as a prefix has tokens, at most
+    homes = long_lists.join(sizes, "list").groupBy("group").agg(F.transform(F.slice(ordered, 1, HOMES), lambda x: x["list"]).alias("homes"))
+    several = members.where("members > 1").select("group").distinct()
+    own = several.join(homes, "group", "left_anti").select(F.xxhash64(F.lit("group"), "group").alias("list"), "group")
+    pairs = met.where("NOT long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    with_several = lambda x: pairs.join(several.select(F.col("group").alias(x)), x, "left_semi").select("a", "b")
+    short = with_several("a").unionByName(with_several("b")).distinct()
+    short = short.select(F.xxhash64(F.lit("pair"), "a", "b").alias("list"), F.explode(F.array("a", "b")).alias("group"))
+    lists = saved(long_lists.unionByName(own).unionByName(short), "lists")
+    return lists, homes.unionByName(own.select("group", F.array("list").alias("homes")))
+
+
+def _tried(listed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between sets that share a home, tried in blocks; a set is in ``TRIED`` blocks at most."""
+    placed = listed.select("node", F.explode(F.slice("homes", 1, TRIED)).alias("home"))
+    sizes = placed.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("b"), F.count("*").alias("m")).where("m > 1").drop("m")
+    dealt = placed.join(sizes, "home").select("home", F.pmod(F.xxhash64("node", "home"), "b").alias("i"), "node", F.col("node").alias("component"))
+    return dealt.join(sets, "node").groupBy("home", "i").applyInPandas(_block_links(percent), "a long, b long")
+
+
+def _block_suspects(percent: int):
+    """Sets of a block that are in a pair of different components whose sizes and fine sketches allow the similarity.
+
+    ``left`` is true for the one whose component is smaller.  Two sets with homes in common are tried in the first of them only.
     """
-    long_lists = met.where("b IS NULL").select("token", F.col("a").alias("group"))
-    sizes = long_lists.groupBy("token").agg(F.count("*").alias("m"))
-    chosen = long_lists.join(sizes, "token").groupBy("group").agg(F.max_by("token", F.struct("m", "token")).alias("list"))
-    crowd = F.coalesce(F.concat(F.lit("t"), F.col("list").cast("string")), F.concat(F.lit("g"), F.col("group").cast("string")))
-    rows = saved(placed.join(chosen, "group", "left").withColumn("crowd", crowd).drop("list"), "crowds")
-    of_group = rows.select("group", "crowd", "members").distinct()
-    stats = rows.groupBy("crowd").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    alone = stats.where("low < high").select(F.col("crowd").alias("p"), F.col("crowd").alias("q"))
-    in_list = long_lists.join(of_group.select("group", "crowd"), "group").select("token", "crowd").distinct()
-    under = in_list.select("token", F.col("crowd").alias("p")).join(in_list.select("token", F.col("crowd").alias("q")), "token").where("p < q")
-    # groups of several sets that met under a short list: only their first sets have been compared
-    side = lambda x, y: of_group.select(F.col("group").alias(x), F.col("crowd").alias(f"c_{y}"), F.col("members").alias(f"m_{y}"))
-    short = met.where("NOT long").select("a", "b").join(side("a", "a"), "a").join(side("b", "b"), "b")
-    short = short.where("(m_a > 1 OR m_b > 1) AND c_a <> c_b").select(F.least("c_a", "c_b").alias("p"), F.greatest("c_a", "c_b").alias("q"))
-    pairs = alone.unionByName(under.select("p", "q")).unionByName(short).distinct()
-    of = lambda x: stats.select(F.col("crowd").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "low", "high")])
-    pairs = pairs.join(of("p"), "p").join(of("q"), "q").where("NOT (p_low = p_high AND q_low = q_high AND p_low = q_low)")
-    blocks = lambda x: F.ceil(F.col(f"{x}_n") / BLOCK).cast("int").alias(f"b_{x}")
-    pairs = saved(pairs.select("p", "q", blocks("p"), blocks("q")), "crowd-pairs")
-    busy = pairs.select(F.explode(F.array("p", "q")).alias("crowd")).distinct()
-    sets = _sets(docs, rows.join(busy, "crowd", "left_semi").select("node", F.col("rep").alias("doc")).distinct(), k, "crowd")
-    own = lambda x: F.pmod(F.xxhash64("node"), F.col(f"b_{x}")).cast("int")
-    every = lambda x: F.explode(F.sequence(F.lit(0), F.col(f"b_{x}") - 1))
-    member = lambda x: pairs.join(rows.select(F.col("crowd").alias(x), "node", "component"), x)
-    left = member("p").select("p", "q", "node", "component", own("p").alias("i"), every("q").alias("j"), F.lit(True).alias("left"))
-    right = member("q").select("p", "q", "node", "component", every("p").alias("i"), own("q").alias("j"), F.lit(False).alias("left"))
-    dealt = left.unionByName(right).where("p <> q OR i <= j").join(sets, "node")
-    return dealt.groupBy("p", "q", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
+
+    def suspects(block: pd.DataFrame) -> pd.DataFrame:
+        this = int(block["list"].iat[0])
+        alone = block["i"].iat[0] == block["j"].iat[0]
+        block = block.sort_values("n", kind="stable")
+        n, c, w, node = (block[x].to_numpy() for x in ("n", "component", "weight", "node"))
+        homes = [() if h is None else h for h in block["homes"]]
+        codes, home = np.unique(np.array([this, *(x for h in homes for x in h)], np.int64), return_inverse=True)
+        at = home[0]
+        table, start = np.full((len(n), HOMES), -1), 1
+        for row, h in zip(table, homes):
+            row[: len(h)] = home[start : start + len(h)]
+            start += len(h)
+        sketches = _Sketches(n, list(block["fine"]))
+        left = np.flatnonzero(block["left"].to_numpy())
+        right = left if alone else np.flatnonzero(~block["left"].to_numpy())
+        found = np.zeros((2, len(n)), bool)
+        for begin in range(0, len(left), 128):
+            x = left[begin : begin + 128]
+            low = np.searchsorted(n[right], -(-percent * n[x[0]] // 100))
+            y = right[max(low, begin + 1 if alone else 0) : np.searchsorted(n[right], 100 * n[x[-1]] // percent, "right")]
+            untried = (c[x][:, None] != c[y]) & _enough(np.minimum(n[x][:, None], n[y]), n[x][:, None], n[y], percent)
+            if alone:
+                untried &= x[:, None] < y
+            common, before = np.zeros((2, *untried.shape), bool)
+            for a in table[x].T:
+                for b in table[y].T:
+                    same = (a[:, None] == b) & (a >= 0)[:, None]
+                    common |= same
+                    before |= same & (a < at)[:, None]
+            here = (table[x] == at).any(axis=1)[:, None] & (table[y] == at).any(axis=1)
+            i, j = np.nonzero(untried & ~np.where(here, before, common))
+            i, j = x[i], y[j]
+            alike = _enough(overlap_bounds(sketches, i, sketches, j), n[i], n[j], percent)
+            i, j = i[alike], j[alike]
+            smaller = (w[i] < w[j]) | (w[i] == w[j]) & (c[i] < c[j])
+            found[0, np.where(smaller, i, j)] = found[1, np.where(smaller, j, i)] = True
+        side, row = np.nonzero(found)
+        return pd.DataFrame({"list": np.full(len(row), this), "node": node[row], "left": side == 0})
+
+    return suspects
+
+
+def _crowded(listed: DataFrame, lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that the first round left apart, among the sets of a list.
+
+    All pairs of a list that is in several components meet by their fine sketches, in blocks.  Whole sets then move for
+    suspects only: those of smaller components on one side of a block, those of larger ones on the other.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
+        for batch in batches:
+            stops, tokens = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy().view(np.uint64)
+            fine = [fine_sketch(tokens[a:b]) for a, b in zip(stops[:-1], stops[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fine, pa.binary())], ["node", "fine"])
+
+    fine = sets.select("node", "tokens").mapInArrow(run, "node long, fine binary")
+    listed = saved(listed.select("node", "n", "group", "homes", "component", "weight").join(fine, "node"), "fine")
+    spread = lists.join(listed.select("group", "component"), "group").groupBy("list").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / MEMBERS).cast("int").alias("b")
+    ).where("low < high").select("list", "b")
+    own = lambda b: F.pmod(F.xxhash64("node", "list"), F.col(b)).cast("int")
+    every = lambda b: F.explode(F.sequence(F.lit(0), F.col(b) - 1))
+    met = lists.join(spread, "list").join(listed, "group").select("*", own("b").alias("own"), every("b").alias("other"))
+    met = met.select(
+        "list", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("left"),
+        "node", "n", "component", "weight", "homes", "fine",
+    )
+    suspects = met.groupBy("list", "i", "j").applyInPandas(_block_suspects(percent), "list long, node long, left boolean")
+    suspects = saved(suspects.distinct(), "suspects")
+    blocks = lambda left: F.ceil(F.count_if(F.col("left") == left) / BLOCK).cast("int")
+    sizes = suspects.groupBy("list").agg(blocks(True).alias("b_left"), blocks(False).alias("b_right"))
+    dealt = suspects.join(sizes, "list").join(listed.select("node", "component"), "node")
+    side = lambda left, i, j: dealt.where(F.col("left") == left).select("list", "node", "component", "left", i.alias("i"), j.alias("j"))
+    dealt = side(True, own("b_left"), every("b_right")).unionByName(side(False, every("b_left"), own("b_right")))
+    return dealt.join(sets, "node").groupBy("list", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
 
 
 def link(docs: DataFrame, k: int = K, percent: int = PERCENT, batch: str = "4m") -> DataFrame:
@@ -431,10 +562,14 @@ def link(docs: DataFrame, k: int = K, percent: int = PERCENT, batch: str = "4m")
     within = members.where("node <> group").select(F.least("node", "group").alias("a"), F.greatest("node", "group").alias("b"))
     tried = group_pairs.select("a", "b").unionByName(within).distinct()
     links = _verified(_bounded(tried, classes, percent), docs, k, percent)
-    found = components(links, "first-components")
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = saved(placed.join(classes.select("node", "rep"), "node"), "placed")
-    more = saved(_crowds(placed, met, docs, k, percent), "crowd-links")
+    lists, homes = _lists(met, members)
+    in_lists = members.join(lists.select("group").distinct(), "group", "left_semi").join(homes, "group", "left")
+    listed = saved(in_lists.join(classes.select("node", "rep"), "node"), "listed")
+    sets = _sets(docs, listed.select("node", F.col("rep").alias("doc")), k, "listed")
+    found = components(links.unionByName(saved(_tried(listed, sets, percent), "tried-links")), "first-components")
+    placed = saved(members.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "placed")
+    weights = placed.groupBy("component").agg(F.count("*").alias("weight"))
+    more = saved(_crowded(listed.join(placed.join(weights, "component"), "node"), lists, sets, percent), "crowd-links")
     every = placed.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
     final = components(every.unionByName(more), "last-components")
     labelled = classes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
